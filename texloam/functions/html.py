@@ -39,39 +39,45 @@ def _all(html: Column, pattern: str, group: int = 1) -> Column:
 
 
 def raw_links(html: Column) -> Column:
-    """Struct of five arrays with the links as written on the page."""
-    other = F.filter(_all(html, LINK_HREF, 0), lambda hit: ~hit.rlike(STYLESHEET_REL))
-    sheets = _all(html, STYLESHEET_HREF, 0)
-    return F.struct(
-        _all(html, ANCHOR_HREF).alias("navigation"),
-        _all(html, IMAGE_SRC).alias("images"),
-        _all(html, SCRIPT_SRC).alias("scripts"),
-        F.transform(
-            sheets,
-            lambda hit: F.concat(
-                F.regexp_extract(hit, STYLESHEET_HREF, 1), F.regexp_extract(hit, STYLESHEET_HREF, 2)
-            ),
-        ).alias("stylesheets"),
-        F.transform(other, lambda hit: F.regexp_extract(hit, LINK_HREF, 1)).alias("other"),
+    """Array of (category, link as written), page order inside each category."""
+
+    def tagged(category: str, found: Column) -> Column:
+        return F.transform(
+            found, lambda link: F.struct(F.lit(category).alias("category"), link.alias("link"))
+        )
+
+    sheets = F.transform(
+        _all(html, STYLESHEET_HREF, 0),
+        lambda hit: F.concat(
+            F.regexp_extract(hit, STYLESHEET_HREF, 1), F.regexp_extract(hit, STYLESHEET_HREF, 2)
+        ),
+    )
+    other = F.transform(
+        F.filter(_all(html, LINK_HREF, 0), lambda hit: ~hit.rlike(STYLESHEET_REL)),
+        lambda hit: F.regexp_extract(hit, LINK_HREF, 1),
+    )
+    return F.concat(
+        tagged("navigation", _all(html, ANCHOR_HREF)),
+        tagged("images", _all(html, IMAGE_SRC)),
+        tagged("scripts", _all(html, SCRIPT_SRC)),
+        tagged("stylesheets", sheets),
+        tagged("other", other),
     )
 
 
 def links(html: Column, base: Column | None = None, spec: UrlSpec | None = None) -> Column:
-    """Struct of five arrays of standardized links, first occurrence kept."""
+    """Array of (category, standardized link), first occurrence kept.
 
-    def standard(url: Column) -> Column:
-        return standardize_url(url if base is None else resolve_url(base, url), spec)
+    Repeated links are common, so they are resolved once.
+    """
 
-    def each(raw: Column) -> Column:
-        # Repeated links are common; they are resolved once.
+    def standard(found: Column) -> Column:
+        url = found["link"] if base is None else resolve_url(base, found["link"])
         return F.struct(
-            *[
-                F.array_distinct(F.transform(F.array_distinct(raw[c]), standard)).alias(c)
-                for c in CATEGORIES
-            ]
+            found["category"].alias("category"), standardize_url(url, spec).alias("link")
         )
 
-    return bind(raw_links(html), each)
+    return F.array_distinct(F.transform(F.array_distinct(raw_links(html)), standard))
 
 
 def title(html: Column) -> Column:

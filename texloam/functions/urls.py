@@ -285,29 +285,19 @@ def resolve_url(base: Column, url: Column) -> Column:
 
     def merged(b: Column, u: Column, link: Column) -> Column:
         scheme = F.when(u["scheme"] == "", b["scheme"]).otherwise(u["scheme"])
-        hosted = scheme.isin("", *HOST_SCHEMES)
-        return (
-            F.when((scheme != b["scheme"]) | ~scheme.isin(*RELATIVE_SCHEMES), link)
-            .when(
-                hosted & (u["host"] != ""),
-                join_url(scheme, u["host"], u["path"], u["query"], u["fragment"]),
-            )
-            .when(
-                u["path"] == "",
-                join_url(
-                    scheme,
-                    b["host"],
-                    b["path"],
-                    F.when(u["query"] == "", b["query"]).otherwise(u["query"]),
-                    u["fragment"],
-                ),
-            )
-            .otherwise(
-                join_url(
-                    scheme, b["host"], _merge_paths(b["path"], u["path"]), u["query"], u["fragment"]
-                )
-            )
+        has_host = u["host"] != ""
+        no_path = u["path"] == ""
+        joined = join_url(
+            scheme,
+            F.when(has_host, u["host"]).otherwise(b["host"]),
+            F.when(has_host, u["path"])
+            .when(no_path, b["path"])
+            .otherwise(_merge_paths(b["path"], u["path"])),
+            F.when(~has_host & no_path & (u["query"] == ""), b["query"]).otherwise(u["query"]),
+            u["fragment"],
         )
+        foreign = (scheme != b["scheme"]) | ~scheme.isin(*RELATIVE_SCHEMES)
+        return F.when(foreign, link).otherwise(joined)
 
     return bind(
         F.struct(base.alias("base"), url.alias("link")),

@@ -14,7 +14,9 @@ from texloam.functions.core import strip
 CONSTANT_KEYWORDS = 100
 # Keyword tables up to this many rows are broadcast.
 BROADCAST_KEYWORDS = 100_000
-ANCHOR_LENGTH = 3
+ANCHOR_LENGTH = 4
+# Up to this many distinct anchors are tested before the texts are taken apart.
+CONSTANT_ANCHORS = 1000
 SHORTEST_PART = 4
 SAMPLES = 3
 SAMPLE_LENGTH = 100
@@ -67,14 +69,22 @@ def keyword_table_matches(
     ``key`` identifies a row of ``elements``.
     """
     forms = _form_table(keywords, parts)
-    lengths = [r.n for r in forms.select(F.length("anchor").alias("n")).distinct().collect()]
+    head = forms.select("anchor").distinct().limit(CONSTANT_ANCHORS + 1).collect()
+    lengths = sorted({len(r.anchor) for r in head})
+    if len(head) > CONSTANT_ANCHORS:
+        lengths = list(range(1, ANCHOR_LENGTH + 1))
     if not lengths:
-        return keyword_matches(elements.filter(F.lit(False)), ["none"], text, parts)
+        nothing = F.lit(None).cast("string")
+        empty = elements.filter(F.lit(False))
+        return empty.select("*", nothing.alias("keyword"), nothing.alias("matched_keyword"))
     if keywords.limit(BROADCAST_KEYWORDS + 1).count() <= BROADCAST_KEYWORDS:
         forms = F.broadcast(forms)
-    grams = F.array_distinct(F.flatten(F.array(*[_grams(F.col("_low"), n) for n in lengths])))
+    grams = F.flatten(F.array(*[_grams(F.col("_low"), n) for n in lengths]))
+    if len(head) <= CONSTANT_ANCHORS:
+        known = [r.anchor for r in head]
+        grams = F.filter(grams, lambda g: g.isin(*known))
     lowered = elements.withColumn("_low", F.lower(F.col(text)))
-    candidates = lowered.withColumn("anchor", F.explode(grams))
+    candidates = lowered.withColumn("anchor", F.explode(F.array_distinct(grams)))
     hits = candidates.join(forms, "anchor").filter(F.col("_low").contains(F.col("form")))
     # Several forms of one keyword may match; the first form counts.
     best = hits.groupBy(*key, "keyword").agg(F.min(F.struct("rank", "form")).alias("_best"))
@@ -83,12 +93,8 @@ def keyword_table_matches(
 
 
 def _grams(value: Column, length: int) -> Column:
-    """All substrings of a length."""
-    starts = F.sequence(F.lit(1), F.length(value) - (length - 1))
-    return F.when(
-        F.length(value) >= length,
-        F.transform(starts, lambda i: F.substring(value, i, F.lit(length))),
-    ).otherwise(F.array().cast("array<string>"))
+    """All substrings of a length; a lookahead at every place reads the text once."""
+    return F.regexp_extract_all(value, F.lit(rf"(?s)(?=(.{{{length}}}))"), F.lit(1))
 
 
 def _form_table(keywords: DataFrame, parts: bool) -> DataFrame:

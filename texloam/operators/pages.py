@@ -35,6 +35,10 @@ def substantial_pages(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.filter(F.length(html) > LEAST_PAGE_LENGTH)
 
 
+def _of_category(links: Column, category: str) -> Column:
+    return F.filter(links, lambda x: x["category"] == category)
+
+
 def page_link_table(
     pages: DataFrame,
     key: Sequence[str],
@@ -45,12 +49,11 @@ def page_link_table(
     """One row per page: total, five counts and five comma-joined link lists."""
     found = rules.links(F.col(html), F.col(base) if base else None, spec)
     linked = with_html(pages, html).select(*key, found.alias("links"))
-    sizes = {c: F.size(f"links.{c}") for c in rules.CATEGORIES}
-    total: Column = sum(sizes.values(), F.lit(0))
-    columns = [total.alias("total_links")]
+    columns = [F.size("links").alias("total_links")]
     for c in rules.CATEGORIES:
-        columns.append(sizes[c].alias(f"{c}_count"))
-        columns.append(F.array_join(f"links.{c}", ",").alias(f"{c}_links"))
+        own = _of_category(F.col("links"), c)
+        columns.append(F.size(own).alias(f"{c}_count"))
+        columns.append(F.array_join(own["link"], ",").alias(f"{c}_links"))
     return linked.select(*key, *columns)
 
 
@@ -63,16 +66,8 @@ def page_links(
 ) -> DataFrame:
     """One row per page, category and distinct link, with its place on the page."""
     found = rules.links(F.col(html), F.col(base) if base else None, spec)
-    linked = with_html(pages, html).select(*key, found.alias("links"))
-    groups = F.array(
-        *[
-            F.struct(F.lit(c).alias("category"), F.col(f"links.{c}").alias("urls"))
-            for c in rules.CATEGORIES
-        ]
-    )
-    return linked.select(*key, F.inline(groups)).select(
-        *key, "category", F.posexplode("urls").alias("pos", "link")
-    )
+    linked = with_html(pages, html).select(*key, F.posexplode(found).alias("pos", "link"))
+    return linked.select(*key, F.col("link.category").alias("category"), "pos", "link.link")
 
 
 def link_counts(links: DataFrame) -> DataFrame:
