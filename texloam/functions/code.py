@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from texloam.functions.core import SPACE, UNICODE, WORD, bind, replace, replace_each, strip
+from texloam.functions.core import SPACE, WORD, bind, replace, replace_each, strip
 
 # Fixed values.
-FENCED_BLOCK = rf"(?sU)```(?:[{WORD}]+)?\n(.*?)\n```"
+FENCED_BLOCK = rf"(?s)```(?:[{WORD}]+)?\n(.*?)\n```"
+# The lookahead names the characters a sign can start with; other places fail at once.
 CODE_SIGNS = (
-    "(?isU)"
+    "(?is)(?=[`dfciwe<])(?:"
     rf"```(?:[{WORD}]+)?\n.*?\n```"
     rf"|def[{SPACE}]+[{WORD}]+[{SPACE}]*\("
     rf"|function[{SPACE}]+[{WORD}]+[{SPACE}]*\("
@@ -21,7 +22,7 @@ CODE_SIGNS = (
     rf"|while[{SPACE}]*\("
     rf"|if[{SPACE}]*\(.+\)[{SPACE}]*[:{{]"
     rf"|else[{SPACE}]*[:{{]"
-    "|<script|<style|<html|<body"
+    "|<script|<style|<html|<body)"
 )
 TAG = "<[^>]+>"
 DICT_VALUE = rf""":[{SPACE}]*"([^"]*)"|:[{SPACE}]*'([^']*)'|:[{SPACE}]*([^,'"}}]+)"""
@@ -79,8 +80,8 @@ LIST_ITEM = _list_item()
 
 def _dict_values(text: Column) -> Column:
     values = F.transform(
-        F.regexp_extract_all(text, F.lit(UNICODE + DICT_VALUE), F.lit(0)),
-        lambda hit: F.concat(*[F.regexp_extract(hit, UNICODE + DICT_VALUE, i) for i in (1, 2, 3)]),
+        F.regexp_extract_all(text, F.lit(DICT_VALUE), F.lit(0)),
+        lambda hit: F.concat(*[F.regexp_extract(hit, DICT_VALUE, i) for i in (1, 2, 3)]),
     )
     return F.array_join(F.transform(F.filter(values, lambda v: v != ""), strip), " ")
 

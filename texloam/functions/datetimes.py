@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from texloam.config import DATETIME_FORMAT
-from texloam.functions.core import SPACE, UNICODE, WORD, bind, replace, replace_each
+from texloam.functions.core import SPACE, WORD, bind, replace, replace_each
 
 # Fixed values.
 MONTHS = (
@@ -35,8 +35,8 @@ _MONTH_NAMES = "|".join(MONTHS)
 _GAP = rf"[{SPACE}]+"
 _START = rf"(?<![{WORD}])"
 _END = rf"(?![{WORD}])"
-FULL_DATE = rf"(?iU){_START}({_MONTH_NAMES}){_GAP}([0-9]{{1,2}}){_GAP}([0-9]{{4}}){_END}"
-MONTH_YEAR = rf"(?iU){_START}({_MONTH_NAMES}){_GAP}([0-9]{{4}}){_END}"
+FULL_DATE = rf"(?i){_START}({_MONTH_NAMES}){_GAP}([0-9]{{1,2}}){_GAP}([0-9]{{4}}){_END}"
+MONTH_YEAR = rf"(?i){_START}({_MONTH_NAMES}){_GAP}([0-9]{{4}}){_END}"
 COMPACT_DATE = rf"{_START}(20[0-9]{{2}})([0-9]{{2}})([0-9]{{2}}){_END}"
 
 # The free forms, longest first; a form never starts or ends inside a number.
@@ -46,7 +46,7 @@ _CLOCK = r"[0-9]{1,2}:[0-9]{2}:[0-9]{2}"
 _WEEKDAY_DATE = rf"[A-Za-z]+,{_GAP}[A-Za-z]+{_GAP}[0-9]{{1,2}},{_GAP}[0-9]{{4}}"
 _MONTH_DATE = rf"[A-Za-z]{{3,9}}{_GAP}[0-9]{{1,2}},?{_GAP}[0-9]{{2,4}}"
 FREE_DATE = (
-    rf"{UNICODE}(?<![0-9])(?:{_ISO}|{_NUMERIC}{_GAP}{_CLOCK}|{_NUMERIC}|{_WEEKDAY_DATE}|{_MONTH_DATE})(?![0-9])"
+    rf"(?<![0-9])(?:{_ISO}|{_NUMERIC}{_GAP}{_CLOCK}|{_NUMERIC}|{_WEEKDAY_DATE}|{_MONTH_DATE})(?![0-9])"
 )
 
 
@@ -140,7 +140,7 @@ def _free_date(hit: Column, out_format: str, this_year: int) -> Column:
         return F.date_format(F.try_to_timestamp(joined, F.lit("yyyy-M-d H:m:s")), out_format)
 
     numeric = r"^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{2,4})"
-    worded = rf"{UNICODE}^(?:([A-Za-z]+),[{SPACE}]+)?([A-Za-z]+)[{SPACE}]+([0-9]{{1,2}}),?[{SPACE}]+([0-9]{{2,4}})$"
+    worded = rf"^(?:([A-Za-z]+),[{SPACE}]+)?([A-Za-z]+)[{SPACE}]+([0-9]{{1,2}}),?[{SPACE}]+([0-9]{{2,4}})$"
     clock = F.regexp_extract(hit, f"({_CLOCK})$", 1)
 
     def numeric_stamp(p: Column) -> Column:

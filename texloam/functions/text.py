@@ -8,17 +8,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from texloam.config import CleanSpec
-from texloam.functions.core import SPACE, UNICODE, WORD, replace, squeeze
+from texloam.functions.core import ASCII_SPACE_RUN, SPACE, WORD, replace, squeeze
 from texloam.functions.words import split_general
 
 # Fixed values.
-URL_PATTERN = rf"{UNICODE}https?://[^{SPACE}]+|www\.[^{SPACE}]+"
+URL_PATTERN = rf"https?://[^{SPACE}]+|www\.[^{SPACE}]+"
 EMAIL_PATTERN = rf"[{WORD}.-]+@[{WORD}.-]+\.[{WORD}]+"
 PUNCTUATION_WITHOUT_BLANK = r"([.,?!])(?! )"
 NON_ASCII_RUN = r"[^\x00-\x7F]+"
-LONE_LETTER = r"\b[A-Za-z]\b"
+# The letter comes first and what follows it second: inside a word that fails at once.
+LONE_LETTER = rf"[A-Za-z](?![{WORD}])(?<![{WORD}][A-Za-z])"
+LONE_LETTER_IN_ASCII = "[A-Za-z](?![A-Za-z0-9_])(?<![A-Za-z0-9_][A-Za-z])"
 WHOLE_NUMBER = rf"(?<![{WORD}])\p{{Nd}}+(?![{WORD}])"
-SENTENCE_BREAK = rf"{UNICODE}(?<=[.?!])[{SPACE}]+(?=[A-Z])"
+SENTENCE_BREAK = rf"(?<=[.?!])[{SPACE}]+(?=[A-Z])"
 
 
 def replace_urls(text: Column, raw: Column | None = None) -> Column:
@@ -45,7 +47,7 @@ def replace_numbers(text: Column, placeholder: str = " NUMBER ") -> Column:
 
 def lower_one_line(text: Column) -> Column:
     """Lower case, newlines become blanks."""
-    return F.translate(F.lower(text), "\n", " ")
+    return F.replace(F.lower(text), F.lit("\n"), F.lit(" "))
 
 
 def space_after_punctuation(text: Column) -> Column:
@@ -84,7 +86,10 @@ def clean(text: Column, spec: CleanSpec | None = None) -> Column:
     out = lower_one_line(out)
     if spec.split_methods and not spec.split_before_lower:
         out = split_general(out, spec.split_methods, spec.keep_numbers_joined)
-    return drop_lone_letters(squeeze_spaces(drop_non_ascii(space_after_punctuation(out))))
+    # From here on the text is ASCII, where narrow classes say the same faster.
+    out = drop_non_ascii(space_after_punctuation(out))
+    out = F.trim(replace(out, ASCII_SPACE_RUN, " "))
+    return F.trim(replace(out, LONE_LETTER_IN_ASCII, ""))
 
 
 TEXT_RULES: dict[str, Callable[[Column], Column]] = {

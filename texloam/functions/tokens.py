@@ -9,10 +9,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from texloam.config import LANGUAGE_CODES
-from texloam.functions.core import SPACE, UNICODE, WORD
+from texloam.functions.core import SPACE, WORD
 
 # Fixed values.
-TOKEN = rf"{UNICODE}[{WORD}]+|[^{WORD}{SPACE}]"
+TOKEN = rf"[{WORD}]+|[^{WORD}{SPACE}]"
 LETTERS_ONLY = r"^\p{L}+$"
 # Plural ending -> singular ending, first that fits.
 PLURAL_ENDINGS = (

@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from texloam.functions.core import SPACE, UNICODE, WORD, replace, squeeze
+from texloam.functions.core import SPACE, SPACE_RUN, WORD, replace, replace_if, squeeze
 
 # Fixed values.
 SPLIT_METHODS = ("camel", "snake", "kebab", "number", "team_names")
@@ -15,28 +15,29 @@ JOINED_NAMES = ("49ers", "76ers", "3M", "7Eleven", "5G", "4K", "3D")
 CAMEL_BOUNDARY = r"(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])"
 THE_TEAM = r"the([A-Z][a-z]+)"
 TWO_CAPITALISED = r"([A-Z][a-z]+)([A-Z][a-z]+)"
-PAGE_REFERENCE = rf"{UNICODE}\[[{SPACE}]*(\d+)[{SPACE}]*\][{SPACE}]*:[{SPACE}]*(\d+)"
-PLAIN_REFERENCE = rf"{UNICODE}\[[{SPACE}]*(\d+)[{SPACE}]*\]"
+PAGE_REFERENCE = rf"\[[{SPACE}]*+(\p{{Nd}}+)[{SPACE}]*+\][{SPACE}]*+:[{SPACE}]*+(\p{{Nd}}+)"
+PLAIN_REFERENCE = rf"\[[{SPACE}]*+(\p{{Nd}}+)[{SPACE}]*+\]"
+# (what a match always contains, pattern, replacement), in order.
 PUNCTUATION_STEPS = (
-    ("``", ""),
-    (rf"(?iU)===+[{SPACE}]*see also[{SPACE}]*===+", " See also "),
-    (rf"(?iU)===+[{SPACE}]*reference[{SPACE}]*===+", " Reference "),
-    (rf"{UNICODE}[{SPACE}]*`+[{SPACE}]*", ""),
-    (rf"{UNICODE}[{SPACE}]*\^+[{SPACE}]*", ""),
-    (rf"{UNICODE}[{SPACE}]*([.,;:?!])[{SPACE}]*", "$1 "),
-    (r"\.{2,}", "."),
-    (rf"{UNICODE}\([{SPACE}]*\)", ""),
-    (r"-{2,}", "-"),
-    (rf"{UNICODE}[{SPACE}]*=+[{SPACE}]*", ""),
-    (rf"{UNICODE}[{SPACE}]+([.,;:?!])[{SPACE}]+", "$1 "),
-    (rf"{UNICODE}[^{WORD}{SPACE}$.,-]", "'"),
-    (r"`{1,}", ""),
-    (rf"{UNICODE}\$[{SPACE}]*([\d{SPACE}.]+)", " dollar "),
-    (rf"{UNICODE}''[{SPACE}]*", ""),
-    (rf"{UNICODE}[{SPACE}]+", " "),
-    (rf"{UNICODE}\[[{SPACE}]*\d+[{SPACE}]*\]", ""),
+    ("``", "``", ""),
+    ("===", rf"(?i)===+[{SPACE}]*+see also[{SPACE}]*+===+", " See also "),
+    ("===", rf"(?i)===+[{SPACE}]*+reference[{SPACE}]*+===+", " Reference "),
+    ("`", rf"[{SPACE}]*+`+[{SPACE}]*+", ""),
+    ("^", rf"[{SPACE}]*+\^+[{SPACE}]*+", ""),
+    ("", rf"[{SPACE}]*+([.,;:?!])[{SPACE}]*+", "$1 "),
+    ("..", r"\.{2,}", "."),
+    ("(", rf"\([{SPACE}]*+\)", ""),
+    ("--", r"-{2,}", "-"),
+    ("=", rf"[{SPACE}]*+=+[{SPACE}]*+", ""),
+    ("", rf"[{SPACE}]++([.,;:?!])[{SPACE}]++", "$1 "),
+    ("", rf"[^{WORD}{SPACE}$.,-]", "'"),
+    ("`", r"`{1,}", ""),
+    ("$", rf"\$[{SPACE}]*([\p{{Nd}}{SPACE}.]+)", " dollar "),
+    ("''", rf"''[{SPACE}]*+", ""),
+    ("", SPACE_RUN, " "),
+    ("[", rf"\[[{SPACE}]*+\p{{Nd}}+[{SPACE}]*+\]", ""),
 )
-SENTENCE_GAP = rf"{UNICODE}(?<=[.!?])[{SPACE}]+"
+SENTENCE_GAP = rf"(?<=[.!?])[{SPACE}]+"
 
 
 def _drop_double_ticks(text: Column) -> Column:
@@ -50,12 +51,12 @@ def split_camel(text: Column) -> Column:
 
 def split_snake(text: Column) -> Column:
     """a_b -> a b."""
-    return F.translate(_drop_double_ticks(text), "_", " ")
+    return F.replace(_drop_double_ticks(text), F.lit("_"), F.lit(" "))
 
 
 def split_kebab(text: Column) -> Column:
     """a-b -> a b."""
-    return F.translate(_drop_double_ticks(text), "-", " ")
+    return F.replace(_drop_double_ticks(text), F.lit("-"), F.lit(" "))
 
 
 def _number_boundary() -> str:
@@ -89,14 +90,17 @@ def split_team_names(text: Column) -> Column:
 
 def spell_references(text: Column) -> Column:
     """[12]: 36 -> (Reference 12, p.36), [2] -> (Reference 2)."""
-    text = replace(_drop_double_ticks(text), PAGE_REFERENCE, " (Reference $1, p.$2) ")
-    return replace(text, PLAIN_REFERENCE, " (Reference $1) ")
+    text = replace_if(_drop_double_ticks(text), "[", PAGE_REFERENCE, " (Reference $1, p.$2) ")
+    return replace_if(text, "[", PLAIN_REFERENCE, " (Reference $1) ")
 
 
 def normalize_punctuation(text: Column) -> Column:
     """The ordered chain of punctuation substitutions."""
-    for pattern, replacement in PUNCTUATION_STEPS:
-        text = replace(text, pattern, replacement)
+    for needle, pattern, replacement in PUNCTUATION_STEPS:
+        if needle:
+            text = replace_if(text, needle, pattern, replacement)
+        else:
+            text = replace(text, pattern, replacement)
     return text
 
 
@@ -134,11 +138,11 @@ SPORT_STEPS = (
     (r"([A-Za-z])\(", "$1 ("),
     (r"\)([A-Za-z])", ") $1"),
     (r"(\p{Nd}+)-(\p{Nd}+)", "$1 - $2"),
-    (rf"{UNICODE}[{SPACE}]+", " "),
-    (rf"{UNICODE}([{SPACE}])[,.!?]", "$1"),
+    (SPACE_RUN, " "),
+    (rf"([{SPACE}])[,.!?]", "$1"),
     (rf"(?<![{WORD}])49 ers(?![{WORD}])", "49ers"),
     (r"([*&])([A-Za-z])|([A-Za-z])([*&])", "$1$3 $2$4"),
-    (rf"{UNICODE}\((\d{{4}})[{SPACE}]*–[{SPACE}]*(\d{{4}})\)", "($1-$2)"),
+    (rf"\((\p{{Nd}}{{4}})[{SPACE}]*+–[{SPACE}]*+(\p{{Nd}}{{4}})\)", "($1-$2)"),
 )
 
 

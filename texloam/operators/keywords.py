@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from texloam.functions.core import strip
+from texloam.functions.core import SPACE_RUN, strip
 
 # Up to this many keywords are tested as constants of the plan.
 CONSTANT_KEYWORDS = 100
@@ -99,7 +99,7 @@ def _grams(value: Column, length: int) -> Column:
 
 def _form_table(keywords: DataFrame, parts: bool) -> DataFrame:
     whole = strip(F.lower(F.col("keyword")))
-    words = F.filter(F.split(whole, r"(?U)\s+"), lambda w: F.length(w) >= SHORTEST_PART)
+    words = F.filter(F.split(whole, SPACE_RUN), lambda w: F.length(w) >= SHORTEST_PART)
     forms = F.array_distinct(F.concat(F.array(whole), words)) if parts else F.array(whole)
     return (
         keywords.select("keyword")

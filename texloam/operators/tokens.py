@@ -93,12 +93,19 @@ def _lemmatize_joined(
         .groupBy(*key)
         .agg(F.map_from_entries(F.collect_list(F.struct("word", "lemma"))).alias("_lemmas"))
     )
+
+    @F.pandas_udf("array<string>")
+    def look_up(column: pd.Series, tables: pd.Series) -> pd.Series:
+        def one(row, table):
+            if row is None or table is None:
+                return row
+            get = dict(table).get
+            return [get(t, t) for t in row]
+
+        return pd.Series([one(r, t) for r, t in zip(column, tables, strict=True)])
+
     joined = df.join(found, list(key), "left")
-    mapped = F.transform(
-        F.col(tokens),
-        lambda t: F.coalesce(F.try_element_at(F.col("_lemmas"), t), t),
-    )
-    return joined.withColumn(tokens, mapped).select(*df.columns)
+    return joined.withColumn(tokens, look_up(F.col(tokens), F.col("_lemmas"))).select(*df.columns)
 
 
 def clean_and_normalize(

@@ -39,24 +39,29 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table of long texts or pages, on all cores even when it is one small file."""
+    return readers.spread(table(spark, sf, name))
+
+
 # --- text cleaning ---------------------------------------------------------
 
 
 @query(lambda: f"SELECT doc_id, {q.clean('text')} AS clean_text FROM documents")
 def clean_text_documents(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("clean_text"))
+    docs = texts(spark, sf, "documents").select("doc_id", F.col("text").alias("clean_text"))
     return cleaning.clean_text(docs, ["clean_text"])
 
 
 @query(lambda: f"SELECT doc_id, {q.clean('text', with_placeholders=False)} AS clean_text FROM documents")
 def clean_text_legacy(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("clean_text"))
+    docs = texts(spark, sf, "documents").select("doc_id", F.col("text").alias("clean_text"))
     return cleaning.clean_text(docs, ["clean_text"], CleanSpec(placeholders=False))
 
 
 @query(lambda: f"SELECT doc_id, {q.clean('text', split=True)} AS clean_text FROM documents")
 def clean_text_split(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("clean_text"))
+    docs = texts(spark, sf, "documents").select("doc_id", F.col("text").alias("clean_text"))
     return cleaning.clean_text(docs, ["clean_text"], CleanSpec(split_methods=KNOWN_SPLIT_METHODS))
 
 
@@ -79,7 +84,7 @@ _CONTACT = "text || ' see http://' || source || '.org/' || lang || ' or ask ' ||
     FROM (SELECT lang, {q.placeholders(_CONTACT)} AS t FROM documents) GROUP BY lang"""
 )
 def placeholder_counts(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("lang", F.expr(_CONTACT).alias("t"))
+    docs = texts(spark, sf, "documents").select("lang", F.expr(_CONTACT).alias("t"))
     replaced = cleaning.apply_rules(docs, ["t"], ["urls", "emails"])
     return replaced.groupBy("lang").agg(
         F.count(F.lit(1)).alias("texts"),
@@ -94,7 +99,7 @@ def placeholder_counts(spark: SparkSession, sf: str) -> DataFrame:
     FROM documents"""
 )
 def sentence_counts(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf, "documents")
     rows = docs.select("doc_id", F.size(text.sentences(F.col("text"))).alias("sentences"))
     return rows
 
@@ -163,7 +168,7 @@ _BROKEN = (
 
 @query(lambda: f"SELECT doc_id, {q.punctuation(_BROKEN)} AS t FROM documents")
 def normalize_punctuation(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", F.expr(_BROKEN).alias("t"))
+    docs = texts(spark, sf, "documents").select("doc_id", F.expr(_BROKEN).alias("t"))
     return cleaning.normalize_punctuation(docs, ["t"])
 
 
@@ -174,7 +179,7 @@ _CITED = "text || ' as in [' || doc_id || ']: ' || n_chars || ' and [ ' || n_cha
     lambda: f"SELECT doc_id, {q.references(_CITED)} AS spelled, {q.tidy(_CITED)} AS tidy FROM documents"
 )
 def academic_references(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select(
+    docs = texts(spark, sf, "documents").select(
         "doc_id", F.expr(_CITED).alias("spelled"), F.expr(_CITED).alias("tidy")
     )
     return cleaning.rewrite(docs, {"spelled": words.spell_references, "tidy": words.tidy_sentences})
@@ -189,7 +194,7 @@ _MATCH = "text || ' theLakers(home) beat RedSox 3-2 in ' || turn || 'OT. the 49
     FROM conversations"""
 )
 def sport_text(spark: SparkSession, sf: str) -> DataFrame:
-    turns = table(spark, sf, "conversations").select(
+    turns = texts(spark, sf, "conversations").select(
         "conv_id", "turn", F.expr(_MATCH).alias("sport"), F.expr(_MATCH).alias("messy")
     )
     return cleaning.rewrite(turns, {"sport": words.sport_text, "messy": words.messy_text})
@@ -217,7 +222,7 @@ def _stopword_sql() -> str:
 
 @query(_stopword_sql)
 def stopword_filter_by_language(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    docs = texts(spark, sf, "documents").select("doc_id", "lang", "text")
     kept = token_jobs.normalize_tokens(docs, "text", F.col("lang"))
     return kept.select("doc_id", F.size("tokens").alias("n_tokens"), "norm_text")
 
@@ -232,7 +237,7 @@ def _alpha_sql() -> str:
 
 @query(_alpha_sql)
 def alpha_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return token_jobs.clean_and_normalize(table(spark, sf, "conversations"), exclude=["role"])
+    return token_jobs.clean_and_normalize(texts(spark, sf, "conversations"), exclude=["role"])
 
 
 _LEMMA_SQL = f"""
@@ -248,7 +253,7 @@ _LEMMA_SQL = f"""
 
 def _lemmatized(spark: SparkSession, sf: str, **options: int) -> DataFrame:
     lower = F.lower(F.col("text"))
-    docs = table(spark, sf, "documents").select("doc_id", tokens.tokenize(lower).alias("tokens"))
+    docs = texts(spark, sf, "documents").select("doc_id", tokens.tokenize(lower).alias("tokens"))
     found = table(spark, sf, "benchmark").select(F.explode(tokens.tokenize(lower)).alias("word"))
     lemmas = (
         found.filter(F.length("word") > 4)
@@ -305,7 +310,7 @@ _PAGE_HREFS = """
 
 def _page_hrefs(spark: SparkSession, sf: str) -> DataFrame:
     found = F.regexp_extract_all("html", F.lit(html.ANCHOR_HREF), F.lit(1))
-    return table(spark, sf, "pages").select("page_id", "url", F.explode(found).alias("href"))
+    return texts(spark, sf, "pages").select("page_id", "url", F.explode(found).alias("href"))
 
 
 _ODD_URLS = "concat(replace(replace(url, '.example.com', '.example.xyz'), '.example.net', '.example.net:80'))"
@@ -367,7 +372,7 @@ _RICH_HTML = (
 
 
 def _rich_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages").select("page_id", "url", F.expr(_RICH_HTML).alias("html"))
+    return texts(spark, sf, "pages").select("page_id", "url", F.expr(_RICH_HTML).alias("html"))
 
 
 def _links_sql() -> str:
@@ -442,7 +447,7 @@ _SMALL = ("h1", "p", "li")
 
 @query(f"WITH {_ELEMENTS_SQL} SELECT page_id, selector, text FROM el WHERE text <> ''")
 def page_elements(spark: SparkSession, sf: str) -> DataFrame:
-    found = pages.page_elements(table(spark, sf, "pages"), ["page_id"], selectors=_SMALL)
+    found = pages.page_elements(texts(spark, sf, "pages"), ["page_id"], selectors=_SMALL)
     return found.select("page_id", "selector", "text")
 
 
@@ -455,7 +460,7 @@ _ARTICLE_TEXT = (
 
 @query(f"SELECT page_id, {_ARTICLE_TEXT} AS text FROM pages WHERE {_ARTICLE_TEXT} <> ''")
 def page_articles(spark: SparkSession, sf: str) -> DataFrame:
-    found = pages.page_elements(table(spark, sf, "pages"), ["page_id"], selectors=["article"])
+    found = pages.page_elements(texts(spark, sf, "pages"), ["page_id"], selectors=["article"])
     return found.select("page_id", "text")
 
 
@@ -465,7 +470,7 @@ def page_articles(spark: SparkSession, sf: str) -> DataFrame:
     FROM ({_PAGE_HREFS})"""
 )
 def internal_links(spark: SparkSession, sf: str) -> DataFrame:
-    return pages.internal_links(table(spark, sf, "pages"), ["page_id"])
+    return pages.internal_links(texts(spark, sf, "pages"), ["page_id"])
 
 
 @query(
@@ -481,7 +486,7 @@ def internal_links(spark: SparkSession, sf: str) -> DataFrame:
     WHERE t <> '' GROUP BY page_id, link ORDER BY priority DESC, link"""
 )
 def internal_link_priority(spark: SparkSession, sf: str) -> DataFrame:
-    found = pages.link_priorities(table(spark, sf, "pages"), ["page_id"])
+    found = pages.link_priorities(texts(spark, sf, "pages"), ["page_id"])
     return found.orderBy(F.desc("priority"), "link")
 
 
@@ -505,7 +510,7 @@ def _matches_sql() -> str:
 
 @query(lambda: _matches_sql() + " SELECT page_id, selector, keyword, matched_keyword, text FROM m")
 def keyword_matches(spark: SparkSession, sf: str) -> DataFrame:
-    elements = pages.page_elements(table(spark, sf, "pages"), ["page_id"], selectors=_SMALL)
+    elements = pages.page_elements(texts(spark, sf, "pages"), ["page_id"], selectors=_SMALL)
     found = keywords.keyword_matches(elements, _KEYWORDS)
     return found.select("page_id", "selector", "keyword", "matched_keyword", "text")
 
@@ -522,7 +527,7 @@ def _search_sql() -> str:
 
 @query(_search_sql)
 def keyword_search(spark: SparkSession, sf: str) -> DataFrame:
-    found = stages.keyword_search(table(spark, sf, "pages"), _KEYWORDS, ["h1", "p"])
+    found = stages.keyword_search(texts(spark, sf, "pages"), _KEYWORDS, ["h1", "p"])
     return found.select(
         "page_id", "url", "title", "selector", "text", "keyword", "matched_keyword", "context"
     )
@@ -548,7 +553,7 @@ def _report_sql() -> str:
 
 @query(_report_sql)
 def keyword_report(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", F.col("source").alias("url"), "text")
+    docs = texts(spark, sf, "documents").select("doc_id", F.col("source").alias("url"), "text")
     found = keywords.keyword_matches(docs, _KEYWORDS)
     names = spark.createDataFrame([(k,) for k in _KEYWORDS], "keyword string")
     report = keywords.keyword_report(found, names, ["doc_id"], pages=docs)
@@ -571,7 +576,7 @@ _PHRASE_SQL = "array_to_string(string_split_regex(text, '\\s+')[2:3], ' ')"
     FROM documents JOIN f ON form <> '' AND contains(lower(text), form) GROUP BY doc_id, keyword"""
 )
 def keyword_table_matches(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents").select("doc_id", "text")
     phrase = F.array_join(F.slice(F.split("text", r"\s+"), 2, 2), " ")
     names = table(spark, sf, "benchmark").select(phrase.alias("keyword"))
     return keywords.keyword_table_matches(docs, names, ["doc_id"]).drop("text")
@@ -588,7 +593,7 @@ def keyword_table_matches(spark: SparkSession, sf: str) -> DataFrame:
     + ") WHERE f IS NOT NULL"
 )
 def keyword_exact_case(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents").select("doc_id", "text")
     return keywords.exact_case_matches(docs, ["nicht", "estre"]).drop("text")
 
 
@@ -609,7 +614,7 @@ _GRAPH_SQL = f"""
 
 
 def _graph(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    stored = table(spark, sf, "pages")
+    stored = texts(spark, sf, "pages")
     root = F.concat(F.regexp_extract("url", "^[a-z]+://[^/?#]*", 0), F.lit("/"))
     own = pages.internal_links(stored, ["url"]).select(F.col("url").alias("src"), F.col("link").alias("dst"))
     up = stored.select(F.col("url").alias("src"), root.alias("dst"))
@@ -644,12 +649,12 @@ def _profile_sql(name: str, columns: str) -> Callable[[], str]:
 
 @query(_profile_sql("documents", "doc_id:bigint text:string lang:string source:string n_chars:bigint"))
 def detect_text_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.profile_columns(table(spark, sf, "documents"))
+    return quality.profile_columns(texts(spark, sf, "documents"))
 
 
 @query(_profile_sql("pages", "page_id:bigint url:string html:string"))
 def detect_url_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.profile_columns(table(spark, sf, "pages"))
+    return quality.profile_columns(texts(spark, sf, "pages"))
 
 
 _DATED = "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')"
@@ -677,14 +682,14 @@ def detect_datetime_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(_profile_sql("conversations", "conv_id:bigint turn:bigint role:string text:string"))
 def detect_code_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.profile_columns(table(spark, sf, "conversations"))
+    return quality.profile_columns(texts(spark, sf, "conversations"))
 
 
 @query(
     lambda: f"SELECT bool_or(regexp_matches(html, {q.lit(q.CODE)})) OR bool_or(regexp_matches(url, {q.lit(q.CODE)})) AS has_code FROM pages"
 )
 def table_contains_code(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.contains_code(table(spark, sf, "pages"), ["url", "html"])
+    return quality.contains_code(texts(spark, sf, "pages"), ["url", "html"])
 
 
 # --- missing values, sparse rows, duplicates -------------------------------
@@ -812,7 +817,7 @@ def dates_in_text(spark: SparkSession, sf: str) -> DataFrame:
         *(F.lit(" long "), shown("EEEE, MMMM d, yyyy"), F.lit(" clock ")),
         *(shown("M/d/yyyy"), F.lit(" 7:08:09 end")),
     )
-    orders = table(spark, sf, "orders").select("o_orderkey", written.alias("t"))
+    orders = texts(spark, sf, "orders").select("o_orderkey", written.alias("t"))
     return cleaning.standardize_datetimes(orders, text_columns=["t"], this_year=2025)
 
 
@@ -828,14 +833,14 @@ _FENCED = "'intro ```python\\nprint(' || source || ')\\n``` mid ```\\n' || text
     FROM (SELECT doc_id, source, {q.strip("text")} AS b FROM documents)"""
 )
 def code_blocks(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", F.expr(_FENCED).alias("t"))
+    docs = texts(spark, sf, "documents").select("doc_id", F.expr(_FENCED).alias("t"))
     marked = docs.select("doc_id", code.has_code(F.col("t")).alias("has_code"), "t")
     return cleaning.rewrite(marked, {"t": code.label_code_blocks})
 
 
 @query(lambda: f"SELECT page_id, {q.rx('html', '<[^>]+>', ' ')} AS t FROM pages")
 def strip_html(spark: SparkSession, sf: str) -> DataFrame:
-    stored = table(spark, sf, "pages").select("page_id", F.col("html").alias("t"))
+    stored = texts(spark, sf, "pages").select("page_id", F.col("html").alias("t"))
     return cleaning.rewrite(stored, {"t": code.strip_markup})
 
 
@@ -856,14 +861,14 @@ def list_literals(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT event_id, regexp_extract(props, '[0-9]+') AS t FROM events")
 def dict_literals(spark: SparkSession, sf: str) -> DataFrame:
-    events = table(spark, sf, "events").select("event_id", F.col("props").alias("t"))
+    events = texts(spark, sf, "events").select("event_id", F.col("props").alias("t"))
     return cleaning.clean_code(events, ["t"])
 
 
 @query("SELECT event_id, regexp_extract(props, '[0-9]+') || ' ' || event_type || ' ' || user_id || ' end' AS t FROM events")
 def nested_literals(spark: SparkSession, sf: str) -> DataFrame:
     nested = F.expr("concat('[', props, ', [', event_type, ', [', user_id, ']], end]')")
-    events = table(spark, sf, "events").select("event_id", nested.alias("t"))
+    events = texts(spark, sf, "events").select("event_id", nested.alias("t"))
     return cleaning.clean_code(events, ["t"])
 
 
@@ -891,7 +896,7 @@ def leading_zeros(spark: SparkSession, sf: str) -> DataFrame:
     FROM documents"""
 )
 def process_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return stages.process_table(table(spark, sf, "documents"))
+    return stages.process_table(texts(spark, sf, "documents"))
 
 
 @query(
@@ -901,7 +906,7 @@ def process_documents(spark: SparkSession, sf: str) -> DataFrame:
 )
 def process_pages(spark: SparkSession, sf: str) -> DataFrame:
     spec = CleanSpec(clean_code_if_found=True)
-    return stages.process_table(table(spark, sf, "pages"), spec, normalize=False)
+    return stages.process_table(texts(spark, sf, "pages"), spec, normalize=False)
 
 
 @query(
@@ -926,7 +931,7 @@ def structure_dataset(spark: SparkSession, sf: str) -> DataFrame:
       lang AS "Lang", source AS "Source" FROM documents"""
 )
 def two_stage_run(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    docs = texts(spark, sf, "documents").select("doc_id", "text", "lang", "source")
     return stages.two_stage_run(docs, normalize=False)
 
 
@@ -935,7 +940,7 @@ _TUTORIAL_HTML = q.rx("html", "<[^>]+>", " ")
 
 @query(lambda: f"SELECT page_id, url, {_TUTORIAL_HTML} AS html FROM pages")
 def tutorial_run(spark: SparkSession, sf: str) -> DataFrame:
-    cleaned, _ = stages.tutorial_run(table(spark, sf, "pages"))
+    cleaned, _ = stages.tutorial_run(texts(spark, sf, "pages"))
     return cleaned
 
 
@@ -1065,7 +1070,7 @@ def _sink_sql() -> str:
 @query(_sink_sql)
 def keyword_sink(spark: SparkSession, sf: str) -> DataFrame:
     path, site = scratch_path(spark, "keywords"), "https://pages.example.org"
-    found = stages.keyword_search(table(spark, sf, "pages"), _KEYWORDS, ["h1", "p"])
+    found = stages.keyword_search(texts(spark, sf, "pages"), _KEYWORDS, ["h1", "p"])
     writers.write_keyword_files(found, path, site, kind="json")
     rows = spark.read.json(f"{path}/data")
     return writers.keyword_envelopes(rows, site, "").drop("timestamp")
@@ -1077,7 +1082,7 @@ def keyword_sink(spark: SparkSession, sf: str) -> DataFrame:
 )
 def link_list_file(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "links")
-    found = pages.internal_links(table(spark, sf, "pages"), ["page_id"])
+    found = pages.internal_links(texts(spark, sf, "pages"), ["page_id"])
     joined = found.withColumn("link", F.concat_ws("\t", F.col("page_id").cast("string"), "link"))
     writers.append_links(joined, path)
     parts = F.split("value", "\t")

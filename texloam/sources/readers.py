@@ -13,6 +13,18 @@ REPLACEMENT = "\ufffd"
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small scan to all cores.
+
+    Text rules are bound by the processor, and a small file is one task.  A scan
+    with at least one task per core, as every large table has, stays as it is.
+    Meant for tables as read: a plan with a shuffle would be run to count its
+    tasks.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
