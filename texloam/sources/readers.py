@@ -116,12 +116,11 @@ def read_csv_with_rejects(
         .schema(StructType(fields))
         .csv(path if isinstance(path, str) else list(path))
     )
-    good = rows.filter(F.col("_rejected").isNull()).drop("_rejected")
-    bad = rows.filter(F.col("_rejected").isNotNull())
-    # Spark refuses to read the raw text alone, so an empty piece of another
-    # column is read with it.
-    nothing = F.substring(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), 1, 0)
-    return good, bad.select(F.concat("_rejected", nothing).alias("_rejected"))
+    # Spark refuses queries that touch the raw text alone, so both filters look
+    # at an empty piece of another column as well.
+    nothing = F.substring(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), 1, 0) == ""
+    good = rows.filter(F.col("_rejected").isNull() & nothing).drop("_rejected")
+    return good, rows.filter(F.col("_rejected").isNotNull() & nothing).select("_rejected")
 
 
 def with_bad_characters(df: DataFrame, columns: Sequence[str], policy: str) -> DataFrame:

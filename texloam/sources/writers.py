@@ -10,6 +10,14 @@ from pyspark.sql import functions as F
 
 from texloam.functions.urls import second_level_domain
 
+# Spark strips blanks around CSV values on writing unless told otherwise.
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 # Leading columns of the keyword files.
 KEYWORD_COLUMNS = ("keyword", "matched_keyword", "url", "title", "selector", "text", "timestamp")
 KEYWORD_EXTRAS = ("context",)
@@ -23,7 +31,7 @@ def write_csv(
     by_source: bool = False,
 ) -> None:
     """CSV with a header; ``by_source`` makes one output folder per input file."""
-    writer = df.write.mode(mode).options(header=True, quote='"', escape='"')
+    writer = df.write.mode(mode).options(**CSV_OPTIONS)
     if compressed:
         writer = writer.option("compression", "gzip")
     if by_source:
@@ -71,7 +79,7 @@ def export_table(
 def write_sorted(df: DataFrame, path: str, sort_by: Sequence[str], kind: str = "csv") -> None:
     """Globally sorted output: a range shuffle, then sorted files."""
     writer = df.orderBy(*sort_by).write.mode("overwrite").format(kind)
-    (writer.option("header", True) if kind == "csv" else writer).save(path)
+    (writer.options(**CSV_OPTIONS) if kind == "csv" else writer).save(path)
 
 
 def append_links(links: DataFrame, path: str, column: str = "link") -> None:
@@ -117,7 +125,7 @@ def write_keyword_files(
     )
     writer = rows.write.mode("overwrite").partitionBy("keyword_file")
     if kind == "csv":
-        writer.options(header=True, quote='"', escape='"').csv(path)
+        writer.options(**CSV_OPTIONS).csv(path)
         return
     if kind != "json":
         raise ValueError(f"unsupported keyword format: {kind}")
