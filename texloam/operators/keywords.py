@@ -66,7 +66,9 @@ def keyword_table_matches(
 
     A text can contain a form only if it contains the form's first characters.
     Those short anchors are the join key, the containment is checked afterwards.
-    ``key`` identifies a row of ``elements``.
+    A table counted as small is broadcast and nothing is shuffled.  Otherwise
+    only ``key``, which identifies a row of ``elements``, meets the anchors, and
+    the texts are joined to the candidates found.
     """
     forms = _form_table(keywords, parts)
     head = forms.select("anchor").distinct().limit(CONSTANT_ANCHORS + 1).collect()
@@ -77,19 +79,24 @@ def keyword_table_matches(
         nothing = F.lit(None).cast("string")
         empty = elements.filter(F.lit(False))
         return empty.select("*", nothing.alias("keyword"), nothing.alias("matched_keyword"))
-    if keywords.limit(BROADCAST_KEYWORDS + 1).count() <= BROADCAST_KEYWORDS:
-        forms = F.broadcast(forms)
+
+    lowered = F.lower(F.col(text))
     grams = F.flatten(F.array(*[_grams(F.col("_low"), n) for n in lengths]))
     if len(head) <= CONSTANT_ANCHORS:
         known = [r.anchor for r in head]
         grams = F.filter(grams, lambda g: g.isin(*known))
-    lowered = elements.withColumn("_low", F.lower(F.col(text)))
-    candidates = lowered.withColumn("anchor", F.explode(F.array_distinct(grams)))
-    hits = candidates.join(forms, "anchor").filter(F.col("_low").contains(F.col("form")))
-    # Several forms of one keyword may match; the first form counts.
-    best = hits.groupBy(*key, "keyword").agg(F.min(F.struct("rank", "form")).alias("_best"))
-    best = best.select(*key, "keyword", F.col("_best.form").alias("matched_keyword"))
-    return elements.join(best, list(key)).select(*elements.columns, "keyword", "matched_keyword")
+    anchor = F.explode(F.array_distinct(grams)).alias("anchor")
+    # The first form of a keyword counts, so one with an earlier form is left out.
+    first = F.col("_low").contains(F.col("form")) & ~F.exists(
+        "earlier", lambda f: F.col("_low").contains(f)
+    )
+    out = [*elements.columns, "keyword", F.col("form").alias("matched_keyword")]
+    source = elements.withColumn("_low", lowered)
+
+    if keywords.limit(BROADCAST_KEYWORDS + 1).count() <= BROADCAST_KEYWORDS:
+        return source.select("*", anchor).join(F.broadcast(forms), "anchor").filter(first).select(*out)
+    candidates = source.select(*key, anchor).join(forms, "anchor").drop("anchor")
+    return source.join(candidates, list(key)).filter(first).select(*out)
 
 
 def _grams(value: Column, length: int) -> Column:
@@ -104,9 +111,14 @@ def _form_table(keywords: DataFrame, parts: bool) -> DataFrame:
     return (
         keywords.select("keyword")
         .distinct()
-        .select("keyword", F.posexplode(forms).alias("rank", "form"))
-        .filter("form <> ''")
-        .withColumn("anchor", F.substring("form", 1, ANCHOR_LENGTH))
+        .withColumn("forms", F.filter(forms, lambda f: f != ""))
+        .select("keyword", "forms", F.posexplode("forms").alias("rank", "form"))
+        .select(
+            "keyword",
+            "form",
+            F.slice("forms", F.lit(1), F.col("rank")).alias("earlier"),
+            F.substring("form", 1, ANCHOR_LENGTH).alias("anchor"),
+        )
     )
 
 

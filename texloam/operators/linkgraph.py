@@ -8,6 +8,8 @@ from pyspark.sql import Window as W
 
 from texloam.session import ensure_checkpoint_dir
 
+SALTS = 64
+
 
 def link_reach(
     edges: DataFrame,
@@ -46,9 +48,19 @@ def _bounded(level: DataFrame, reached: DataFrame | None, max_pages: int | None)
     """The first nodes of a level that still fit the bound of their seed."""
     if max_pages is None:
         return level
-    # The constant bound lets Spark cut every seed inside each task already.
-    rank = F.row_number().over(W.partitionBy("seed").orderBy("node"))
-    ranked = level.withColumn("_n", rank).filter(F.col("_n") <= max_pages)
+    # Every seed is cut to the bound inside small salted groups first, so a seed
+    # that reaches most of the graph is never ranked as a whole by one task.
+    salt = F.pmod(F.xxhash64("node"), F.lit(SALTS))
+    inner = F.row_number().over(W.partitionBy("seed", "_salt").orderBy("node"))
+    outer = F.row_number().over(W.partitionBy("seed").orderBy("node"))
+    ranked = (
+        level.withColumn("_salt", salt)
+        .withColumn("_n", inner)
+        .filter(F.col("_n") <= max_pages)
+        .drop("_salt", "_n")
+        .withColumn("_n", outer)
+        .filter(F.col("_n") <= max_pages)
+    )
     if reached is None:
         return ranked.drop("_n")
     used = reached.groupBy("seed").agg(F.count(F.lit(1)).alias("_used"))

@@ -83,21 +83,20 @@ def internal_links(
     pages: DataFrame, key: Sequence[str], url: str = "url", html: str = "html"
 ) -> DataFrame:
     """(key, link): distinct links of a page to its own host, without fragments."""
-    hrefs = with_html(pages, html).select(
+    raw = F.array_distinct(
+        F.regexp_extract_all(F.col(html), F.lit(rules.ANCHOR_HREF), F.lit(1))
+    )
+    found = with_html(pages, html).select(
         *key,
-        F.col(url).alias("_page"),
+        url_host(F.col(url)).alias("_host"),
         rules.base_href(F.col(html), F.col(url)).alias("_base"),
-        F.explode(
-            F.array_distinct(F.regexp_extract_all(F.col(html), F.lit(rules.ANCHOR_HREF), F.lit(1)))
-        ).alias("_href"),
+        F.filter(raw, rules.followable).alias("_hrefs"),
     )
-    resolved = hrefs.filter(rules.followable(F.col("_href"))).select(
-        *key,
-        "_page",
-        drop_fragment(resolve_url(F.col("_base"), rules.unescape(F.col("_href")))).alias("link"),
+    resolved = F.transform(
+        "_hrefs", lambda href: drop_fragment(resolve_url(F.col("_base"), rules.unescape(href)))
     )
-    same_host = url_host(F.col("link")) == url_host(F.col("_page"))
-    return resolved.filter(same_host).select(*key, "link").distinct()
+    own = F.filter(resolved, lambda link: url_host(link) == F.col("_host"))
+    return found.select(*key, F.explode(F.array_distinct(own)).alias("link"))
 
 
 def page_elements(
