@@ -100,6 +100,11 @@ def test_keyword_files(spark, tmp_path):
     assert folder.name == "keyword_file=climate_change__site_202401020304"
     header = next(folder.glob("*.csv")).read_text().splitlines()[0]
     assert header == "keyword,matched_keyword,url,title,selector,text,timestamp,context"
+    writers.write_keyword_files(
+        found, str(tmp_path / "two"), "https://en.site.org/x", now=now, keywords=["Climate change!", "none"]
+    )
+    alone = next((tmp_path / "two").glob("keyword_file=none_*")).glob("*.csv")
+    assert [f.read_text().strip() for f in alone] == [header]
     writers.write_keyword_files(found, str(tmp_path / "json"), "https://en.site.org/x", "json", now)
     summary = spark.read.json(str(tmp_path / "json" / "summary")).first()
     assert (summary.items_count, summary.timestamp) == (1, "2024-01-02 03:04:05")

@@ -144,6 +144,9 @@ def test_process_table_with_given_roles(spark):
     ).collect()
     assert tuple(got[0]) == ("the dogs ran,", "http://a.b/", "2024-01-02 03:04:05", "Left Alone")
     assert tuple(got[1]) == ("", "", None, None)
+    dated = spark.createDataFrame([("On March 9 2011 it was",)], "t string")
+    got = stages.process_table(dated, None, ["t"], [], [], normalize=False, date_text_columns=["t"])
+    assert got.first().t == "on 2011-03-09 it was"
     kept = stages.process_table(table, None, ["t"], ["u"], ["d"], exclude=["t"]).first()
     assert kept.t == "The <b>Dogs</b> ran, x"
 
@@ -200,6 +203,8 @@ def test_dom_elements():
     contexts = {e.text: e.context for e in found if e.selector in ("h1", "p")}
     assert contexts["War"] == "WarFirstboldSecond about climate"
     assert contexts["Inside"] is None or len(contexts["Inside"]) > len("Inside")
+    nodes = [e.text for e in elements_of(PAGE, ["#text"], None)]
+    assert nodes[:3] == ["T & U", "One", "Two words here"] and "bold" in nodes
     assert elements_of("", ["p"], None) == [] and elements_of("<p>a < b</p>", ["p"], None)[0].text == "a < b"
 
 

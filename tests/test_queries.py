@@ -64,3 +64,12 @@ def test_scans_read_only_what_is_used(spark, sf):
 def test_rank_limit_precedes_the_shuffle(spark, sf):
     plan = QUERIES["keyword_report"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_tasks_carry_the_page_helper(spark):
+    from pyspark import cloudpickle
+
+    from texloam.functions import dom
+
+    assert b"page_elements" in cloudpickle.dumps(dom.page_elements)
+    assert len(cloudpickle.dumps(dom.page_elements)) > 1000

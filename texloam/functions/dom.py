@@ -18,6 +18,7 @@ PARAGRAPH_ENDERS = frozenset(
 LIST_TAGS = frozenset("ol ul menu".split())
 CONTEXT_TAGS = frozenset("article section main".split())
 CONTEXT_CLASSES = frozenset("content main article".split())
+TEXT_NODES = "#text"
 
 
 class Element(NamedTuple):
@@ -98,7 +99,7 @@ class _Tree(HTMLParser):
 
 
 def page_elements(html: str, selectors: list[str], context_below: int | None) -> list[Element]:
-    """Elements with text that match a selector (``tag`` or ``tag.class``).
+    """Elements with text that match a selector: ``tag``, ``tag.class``, ``#text``.
 
     ``context`` is the text of the nearest article, section or main, else of a
     content div, else of the parent: the first that is longer than the element
@@ -135,6 +136,11 @@ def page_elements(html: str, selectors: list[str], context_below: int | None) ->
         if hits and size(node):
             shared = (content(node), context(node), size(node.parent) if node.parent else 0)
             out += [Element(s, pos, node.tag, node.href, *shared) for s in hits]
+    if TEXT_NODES in selectors:
+        out += [
+            Element(TEXT_NODES, i, TEXT_NODES, None, piece, None, 0)
+            for i, piece in enumerate(tree.pieces)
+        ]
     return out
 
 

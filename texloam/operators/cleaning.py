@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +12,8 @@ from pyspark.sql.types import StringType
 from texloam.config import DATETIME_FORMAT, CleanSpec, UrlSpec
 from texloam.functions import code, datetimes, registry, text, urls, words
 
+log = logging.getLogger(__name__)
+
 
 def string_columns(df: DataFrame) -> list[str]:
     """Names of the string-typed columns."""
@@ -107,12 +110,30 @@ def standardize_datetimes(
     return rewrite(df, rules)
 
 
+def unparsed_datetimes(
+    df: DataFrame, columns: Sequence[str], strftime: str = DATETIME_FORMAT
+) -> DataFrame:
+    """(column, unparsed): filled cells that do not follow the format, in one pass."""
+    counts = df.agg(
+        *[
+            F.count_if(
+                F.col(c).isNotNull() & datetimes.parse_datetime(F.col(c), strftime).isNull()
+            ).alias(c)
+            for c in columns
+        ]
+    )
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("unparsed")) for c in columns]
+    return counts.select(F.inline(F.array(*pairs)))
+
+
 def clean_code(
     df: DataFrame,
     columns: Sequence[str],
     label_blocks: bool = True,
     depth: int = code.DEEPEST_LIST,
 ) -> DataFrame:
-    """Remove code, markup and literals; columns the table lacks are ignored."""
+    """Remove code, markup and literals; columns the table lacks are skipped."""
     present = [c for c in columns if c in df.columns]
+    if len(present) < len(columns):
+        log.warning("columns not in the table: %s", [c for c in columns if c not in present])
     return rewrite(df, {c: lambda x: code.clean_code(x, label_blocks, depth) for c in present})

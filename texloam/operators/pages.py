@@ -5,15 +5,20 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from texloam.config import UrlSpec
+from texloam.functions import dom
 from texloam.functions import html as rules
-from texloam.functions.dom import page_elements as elements_of
+from texloam.functions.core import SPACE
 from texloam.functions.urls import drop_fragment, resolve_url, url_host
 
+# The page tree travels with the task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(dom)
+
 # Fixed values.
 SELECTORS = (
     *("h1", "h2", "h3", "h4", "p", "li", "div.content", "article", "section"),
@@ -27,7 +32,7 @@ ROWS_PER_BATCH = 5000
 
 def with_html(pages: DataFrame, html: str = "html") -> DataFrame:
     """Pages whose HTML is not blank."""
-    return pages.filter(F.trim(F.col(html)) != "")
+    return pages.filter(F.col(html).rlike(f"[^{SPACE}]"))
 
 
 def substantial_pages(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -108,6 +113,8 @@ def page_elements(
 ) -> DataFrame:
     """One row per element with text and selector it matches.
 
+    A selector is ``tag``, ``tag.class`` or ``#text`` for the bare text nodes.
+
     A page is one cell, so its tree is built inside the task that reads it; only
     the keys and the HTML travel to Python, rows leave in bounded batches.
     """
@@ -130,7 +137,7 @@ def page_elements(
         for batch in batches:
             rows: list[tuple] = []
             for *ids, page in batch.itertuples(index=False, name=None):
-                rows += [(*ids, *e) for e in elements_of(page, wanted, context_below)]
+                rows += [(*ids, *e) for e in dom.page_elements(page, wanted, context_below)]
                 if len(rows) >= ROWS_PER_BATCH:
                     yield pd.DataFrame(rows, columns=names)
                     rows = []

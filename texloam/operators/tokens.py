@@ -32,10 +32,12 @@ def normalize_tokens(
     custom_stop_words: Sequence[str] = (),
     letters_only: bool = False,
     default_lemmas: bool = False,
+    languages: Sequence[str] = LANGUAGES,
 ) -> DataFrame:
     """Add ``tokens`` and ``norm_text``: tokenized, stop words out, rejoined.
 
-    ``language`` is one language for all rows or a column.  Each stop list is a
+    ``language`` is one language for all rows or a column; ``languages`` are the
+    lists a column may choose from, English for all others.  Each stop list is a
     constant hash set of the plan: token order is kept inside the row and no
     token is ever shuffled.
     """
@@ -45,7 +47,8 @@ def normalize_tokens(
     if isinstance(language, str):
         tokens = rules.drop_stop_words(tokens, rules.stop_words(language, custom_stop_words))
     else:
-        lists = {name: rules.stop_words(name, custom_stop_words) for name in LANGUAGES}
+        names = dict.fromkeys(("english", *languages))
+        lists = {name: rules.stop_words(name, custom_stop_words) for name in names}
         tokens = rules.drop_stop_words_by_language(tokens, language, lists)
     if default_lemmas:
         tokens = F.transform(tokens, rules.singular)

@@ -223,7 +223,8 @@ def _stopword_sql() -> str:
 @query(_stopword_sql)
 def stopword_filter_by_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = texts(spark, sf, "documents").select("doc_id", "lang", "text")
-    kept = token_jobs.normalize_tokens(docs, "text", F.col("lang"))
+    present = ("english", "french", "german", "spanish")
+    kept = token_jobs.normalize_tokens(docs, "text", F.col("lang"), languages=present)
     return kept.select("doc_id", F.size("tokens").alias("n_tokens"), "norm_text")
 
 
@@ -451,6 +452,18 @@ def page_elements(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("page_id", "selector", "text")
 
 
+@query(
+    f"""
+    SELECT page_id, text FROM (
+      SELECT page_id, {q.strip(q.unescape("replace(unnest(string_split_regex(body, '(?s)<!--.*?-->|<[^>]+>')), '&copy;', '©')"))} AS text
+      FROM (SELECT page_id, regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>|<!DOCTYPE[^>]*>', '<x>', 'g') AS body FROM pages))
+    WHERE text <> ''"""
+)
+def page_text_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    found = pages.page_elements(texts(spark, sf, "pages"), ["page_id"], selectors=["#text"])
+    return found.select("page_id", "text")
+
+
 _ARTICLE = "regexp_extract(html, '(?s)<article>(.*?)</article>', 1)"
 _ARTICLE_TEXT = (
     f"array_to_string(list_transform(string_split_regex({_ARTICLE}, '(?s)<!--.*?-->|<[^>]+>'), "
@@ -797,6 +810,15 @@ def standardize_datetime_column(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.standardize_datetimes(orders, ["placed"])
 
 
+@query("SELECT 'placed' AS \"column\", count(*) FILTER (o_orderstatus = 'P') AS unparsed FROM orders")
+def unparsed_datetimes(spark: SparkSession, sf: str) -> DataFrame:
+    loose = F.date_format("o_orderdate", "yyyy-M-d H:m:s")
+    orders = table(spark, sf, "orders").select(
+        F.when(F.col("o_orderstatus") == "P", "pending").otherwise(loose).alias("placed")
+    )
+    return cleaning.unparsed_datetimes(orders, ["placed"])
+
+
 @query(
     """
     SELECT o_orderkey, 'made ' || d || ', seen ' || d[:7] || '; id '

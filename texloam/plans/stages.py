@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import functools
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,12 +28,14 @@ def process_table(
     code_columns: Sequence[str] | None = None,
     exclude: Sequence[str] = (),
     normalize: bool = True,
+    date_text_columns: Sequence[str] = (),
 ) -> DataFrame:
     """Clean a table by the role of its columns.
 
     Roles not given are detected in one aggregate; all rewriting is then one
     projection.  A column has one role: URL before text before datetime.
-    ``normalize`` also drops stop words and maps plurals in text columns.
+    ``normalize`` also drops stop words and maps plurals in text columns; dates
+    inside ``date_text_columns`` are rewritten last.
     """
     spec = spec or CleanSpec()
     roles: dict[str, list[str]] = {}
@@ -67,6 +70,13 @@ def process_table(
     rules = {c: text_rule for c in texts}
     rules |= {c: lambda v: urls.standardize_url(missing.null_to_blank(v), spec.url) for c in url}
     rules |= {c: lambda v: datetimes.standardize_datetime(v, spec.datetime_format) for c in dates}
+
+    def with_dates(value: Column, rule: Callable[[Column], Column]) -> Column:
+        return datetimes.dates_in_text(rule(value), spec.datetime_format)
+
+    for c in date_text_columns:
+        before = rules.get(c, lambda v: v)
+        rules[c] = functools.partial(with_dates, rule=before)
     return rewrite(df, rules)
 
 

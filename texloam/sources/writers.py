@@ -111,8 +111,10 @@ def write_keyword_files(
     site: str,
     kind: str = "csv",
     now: datetime.datetime | None = None,
+    keywords: Sequence[str] = (),
 ) -> None:
-    """One output folder per keyword.
+    """One output folder per keyword; CSV output of ``keywords`` without a match
+    has the header alone.
 
     JSON output has the matches as lines below ``data`` and one record per
     keyword (keyword, website, timestamp, items_count) below ``summary``; all
@@ -126,6 +128,7 @@ def write_keyword_files(
     writer = rows.write.mode("overwrite").partitionBy("keyword_file")
     if kind == "csv":
         writer.options(**CSV_OPTIONS).csv(path)
+        _write_headers(rows, path, site, now, keywords)
         return
     if kind != "json":
         raise ValueError(f"unsupported keyword format: {kind}")
@@ -133,6 +136,19 @@ def write_keyword_files(
     write_json(keyword_envelopes(matches, site, timestamp), f"{path}/summary")
 
 
+def _write_headers(
+    rows: DataFrame, path: str, site: str, now: datetime.datetime, keywords: Sequence[str]
+) -> None:
+    wanted = rows.filter(F.col("keyword").isin(*keywords)) if keywords else rows.limit(0)
+    found = {r.keyword for r in wanted.select("keyword").distinct().collect()}
+    for keyword in keywords:
+        if keyword not in found:
+            stamp = now.strftime("%Y%m%d%H%M")
+            one = rows.sparkSession.range(1).select(keyword_file_name(F.lit(keyword), site, stamp))
+            empty = rows.drop("keyword_file").limit(0).coalesce(1)
+            empty.write.options(**CSV_OPTIONS).csv(f"{path}/keyword_file={one.first()[0]}")
+
+
 def keyword_envelopes(matches: DataFrame, site: str, timestamp: str) -> DataFrame:
     """(keyword, website, timestamp, items_count)."""
     return (
