@@ -455,7 +455,7 @@ def page_elements(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""
     SELECT page_id, text FROM (
-      SELECT page_id, {q.strip(q.unescape("replace(unnest(string_split_regex(body, '(?s)<!--.*?-->|<[^>]+>')), '&copy;', '©')"))} AS text
+      SELECT page_id, {q.strip(q.unescape("replace(replace(unnest(string_split_regex(body, '(?s)<!--.*?-->|<[^>]+>')), '&copy;', '©'), '&middot;', '·')"))} AS text
       FROM (SELECT page_id, regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>|<!DOCTYPE[^>]*>', '<x>', 'g') AS body FROM pages))
     WHERE text <> ''"""
 )
