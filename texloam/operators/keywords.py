@@ -40,19 +40,19 @@ def keyword_matches(
     wanted = list(dict.fromkeys(k for k in keywords if k.strip()))
     if len(wanted) > CONSTANT_KEYWORDS:
         raise ValueError(f"more than {CONSTANT_KEYWORDS} keywords: use keyword_table_matches")
-    lowered = F.lower(F.col(text))
 
     def found(keyword: str) -> Column:
-        form = F.coalesce(
-            *[F.when(lowered.contains(f), F.lit(f)) for f in keyword_forms(keyword, parts)]
-        )
+        # The lower-cased text is a column of its own, so it is made once per row.
+        forms = keyword_forms(keyword, parts)
+        form = F.coalesce(*[F.when(F.col("_low").contains(f), F.lit(f)) for f in forms])
         return F.when(
             form.isNotNull(),
             F.struct(F.lit(keyword).alias("keyword"), form.alias("matched_keyword")),
         )
 
     hits = F.array_compact(F.array(*[found(k) for k in wanted]))
-    return elements.select("*", F.inline(hits))
+    lowered = elements.withColumn("_low", F.lower(F.col(text)))
+    return lowered.select(*elements.columns, F.inline(hits))
 
 
 def keyword_table_matches(
@@ -146,12 +146,14 @@ def keyword_report(
 
     Keywords without a match stay with count 0.  The three samples are the first
     in ``order_by``; the rank limit is applied before the shuffle, so a keyword
-    that matches everywhere sends three rows per task.
+    that matches everywhere sends three rows per task.  ``matches`` is read twice,
+    for the counts and for the samples: persist it when it is costly.
     """
-    counts = matches.groupBy("keyword").agg(F.count(F.lit(1)).alias("count"))
-    # Distinct pairs first: a keyword found on most pages is spread by URL.
-    distinct = matches.select("keyword", url).distinct().groupBy("keyword")
-    urls = distinct.agg(F.count(F.lit(1)).alias("unique_urls"))
+    # Pairs first: a keyword found on most pages is spread by URL.
+    pairs = matches.groupBy("keyword", url).agg(F.count(F.lit(1)).alias("_n"))
+    counts = pairs.groupBy("keyword").agg(
+        F.sum("_n").alias("count"), F.count(F.lit(1)).alias("unique_urls")
+    )
     window = W.partitionBy("keyword").orderBy(*order_by)
     first = matches.select(
         "keyword", text, *order_by, F.row_number().over(window).alias("_n")
@@ -166,7 +168,6 @@ def keyword_report(
         keywords.select("keyword")
         .distinct()
         .join(counts, "keyword", "left")
-        .join(urls, "keyword", "left")
         .join(samples, "keyword", "left")
         .select(
             "keyword",
