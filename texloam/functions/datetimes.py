@@ -34,10 +34,12 @@ DIRECTIVES = {
 _MONTH_NAMES = "|".join(MONTHS)
 _GAP = rf"[{SPACE}]+"
 _START = rf"(?<![{WORD}])"
+# What a month name starts with, tested before anything else.
+_MONTH_START = f"(?=[{''.join(sorted({m[0] for m in MONTHS}))}])"
 _END = rf"(?![{WORD}])"
-FULL_DATE = rf"(?i){_START}({_MONTH_NAMES}){_GAP}([0-9]{{1,2}}){_GAP}([0-9]{{4}}){_END}"
-MONTH_YEAR = rf"(?i){_START}({_MONTH_NAMES}){_GAP}([0-9]{{4}}){_END}"
-COMPACT_DATE = rf"{_START}(20[0-9]{{2}})([0-9]{{2}})([0-9]{{2}}){_END}"
+FULL_DATE = rf"(?i){_MONTH_START}{_START}({_MONTH_NAMES}){_GAP}([0-9]{{1,2}}){_GAP}([0-9]{{4}}){_END}"
+MONTH_YEAR = rf"(?i){_MONTH_START}{_START}({_MONTH_NAMES}){_GAP}([0-9]{{4}}){_END}"
+COMPACT_DATE = rf"(?=20){_START}(20[0-9]{{2}})([0-9]{{2}})([0-9]{{2}}){_END}"
 
 # The free forms, longest first; a form never starts or ends inside a number.
 _ISO = r"[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}"
