@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,23 +58,27 @@ def export_table(
 ) -> list[str]:
     """Write the table in several formats; returns the paths.
 
-    The first format that keeps types is parquet when asked for; otherwise each
-    format computes the table once more, which needs no storage in between.
+    The table is kept on the executors until the last format is written, so it
+    is computed once; lost parts are computed again.
     """
-    stamp = stamp or run_stamp()
-    out = []
-    for kind in formats:
-        target = f"{path}_{stamp}.{kind}"
-        if kind == "csv":
-            write_csv(df, target)
-        elif kind == "json":
-            write_json(df, target)
-        elif kind in ("parquet", "orc"):
-            df.write.mode("overwrite").format(kind).save(target)
-        else:
-            raise ValueError(f"unsupported export format: {kind}")
-        out.append(target)
-    return out
+    unknown = [kind for kind in formats if kind not in ("csv", "json", "parquet", "orc")]
+    if unknown:
+        raise ValueError(f"unsupported export formats: {unknown}")
+    targets = {kind: f"{path}_{stamp or run_stamp()}.{kind}" for kind in formats}
+    own = len(targets) > 1 and df.storageLevel == StorageLevel.NONE
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK) if own else df
+    try:
+        for kind, target in targets.items():
+            if kind == "csv":
+                write_csv(kept, target)
+            elif kind == "json":
+                write_json(kept, target)
+            else:
+                kept.write.mode("overwrite").format(kind).save(target)
+    finally:
+        if own:
+            kept.unpersist()
+    return list(targets.values())
 
 
 def write_sorted(df: DataFrame, path: str, sort_by: Sequence[str], kind: str = "csv") -> None:
