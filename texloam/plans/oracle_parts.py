@@ -6,10 +6,9 @@ Unicode classes, list functions instead of array expressions.
 
 from __future__ import annotations
 
-import zipfile
-from pathlib import Path
+from pyspark.sql import SparkSession
 
-import pyspark
+from texloam.functions.tokens import stop_words
 
 W = r"\p{L}\p{N}_"
 S = r"\s\x0b\x1c-\x1f\x{85}\p{Z}"
@@ -39,12 +38,9 @@ def squeeze(expr: str) -> str:
 
 
 def stop_list(language: str) -> str:
-    """The shipped stop words as a SQL list, read from the Spark distribution."""
-    jars = sorted(Path(pyspark.__file__).parent.glob("jars/spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as jar:
-        member = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
-        words = jar.read(member).decode("utf-8").split("\n")
-    return "[" + ", ".join(sorted({lit(w.strip().lower()) for w in words if w.strip()})) + "]"
+    """The shipped stop words as a SQL list, asked from the running session."""
+    SparkSession.builder.getOrCreate()
+    return "[" + ", ".join(lit(word) for word in stop_words(language)) + "]"
 
 
 URL = rf"https?://[^{S}]+|www\.[^{S}]+"
