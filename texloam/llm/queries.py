@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from texloam.llm import bpe, exact_dedup, packing
+from texloam.llm import bpe, exact_dedup, line_dedup, packing
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
+    "op3_line_dedup": line_dedup.query,
     "op4_byte_bpe": bpe.query,
     "op10_best_fit_packing": packing.query,
 }
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op3_line_dedup": line_dedup.SQL,
 }
