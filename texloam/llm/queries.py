@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from texloam.llm import bpe, exact_dedup, line_dedup, packing
+from texloam.llm import bpe, exact_dedup, language_id, line_dedup, packing, quality, simhash_trie
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
     "op3_line_dedup": line_dedup.query,
     "op4_byte_bpe": bpe.query,
+    "op6_quality_classifier": quality.query,
+    "op8_language_id": language_id.query,
+    "op9_simhash_trie": simhash_trie.query,
     "op10_best_fit_packing": packing.query,
 }
 
