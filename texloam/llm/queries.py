@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from texloam.llm import bpe, exact_dedup, language_id, line_dedup, packing, quality, simhash_trie
+from texloam.llm import bpe, exact_dedup, language_id, line_dedup, packing, quality, secrets, simhash_trie
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
+    "op2_secret_scan": secrets.query,
     "op3_line_dedup": line_dedup.query,
     "op4_byte_bpe": bpe.query,
     "op6_quality_classifier": quality.query,
