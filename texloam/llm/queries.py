@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from texloam.llm import bpe, exact_dedup, language_id, line_dedup, packing, quality, secrets, simhash_trie
+from texloam.llm import bpe, exact_dedup, language_id, line_dedup, order_minhash, packing, quality, secrets, simhash_trie
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_line_dedup": line_dedup.query,
     "op4_byte_bpe": bpe.query,
     "op6_quality_classifier": quality.query,
+    "op7_order_minhash": order_minhash.query,
     "op8_language_id": language_id.query,
     "op9_simhash_trie": simhash_trie.query,
     "op10_best_fit_packing": packing.query,
