@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from texloam.llm import bpe, exact_dedup, language_id, line_dedup, order_minhash, packing, quality, secrets, simhash_trie
+from texloam.llm import bpe, exact_dedup, language_id, licenses, line_dedup, order_minhash, packing, quality, secrets, simhash_trie
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
     "op2_secret_scan": secrets.query,
     "op3_line_dedup": line_dedup.query,
     "op4_byte_bpe": bpe.query,
+    "op5_license_scan": licenses.query,
     "op6_quality_classifier": quality.query,
     "op7_order_minhash": order_minhash.query,
     "op8_language_id": language_id.query,
