@@ -39,10 +39,10 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def chunks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, list[str]]]:
-    """(first row, end row, texts) of the batch in runs of bounded length; null reads as empty."""
-    texts = [text or "" for text in batch.column(column).to_pylist()]
+def runs(texts: list[str | None]) -> Iterator[tuple[int, int, list[str]]]:
+    """(first, end, texts) in runs of bounded length; null reads as empty."""
     start = chars = 0
+    texts = [text or "" for text in texts]
     for i, text in enumerate(texts):
         chars += len(text)
         if chars >= CHUNK_CHARS:
@@ -50,3 +50,8 @@ def chunks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, list[
             start, chars = i + 1, 0
     if start < len(texts):
         yield start, len(texts), texts[start:]
+
+
+def chunks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, list[str]]]:
+    """The runs of a batch's texts."""
+    return runs(batch.column(column).to_pylist())

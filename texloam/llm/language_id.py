@@ -16,18 +16,21 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from texloam.llm.bpe import LETTER, code_point_classes
-from texloam.llm.common import chunks, fold, table
+from texloam.llm.common import chunks, fold, runs, table
 
 DIMENSIONS = 1024
 SEED = 20
 #: Bounds of the fit: expected texts per language, and the most frequent languages learned.
 TEXTS_PER_LANGUAGE, LANGUAGES = 2000, 500
 UNKNOWN = "und"
+#: Texts below this cosine are of no known language; clean ones of a single word are above it.
+LEAST_SCORE = 0.03
 _SCALE = 1 << 30
 
 
@@ -147,35 +150,44 @@ def fit(
     return Profiles(names, (vectors / np.where(norms > 0, norms, 1)).astype(np.float32))
 
 
-def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, lang_pred, score of every row.
+def language(text: Column, profiles: Profiles) -> Column:
+    """struct<lang_pred, score> of a text.
 
     ``score`` is the cosine with the chosen prototype, 0 where it is negative.
     Null and empty texts, texts without letters, and all texts where nothing was
     learned are ``und`` with score 0.  Of equal cosines the first language by
-    name wins.  Repeated rows and null ids each give their row.
+    name wins.
     """
     known, vectors = np.array([*profiles.languages, UNKNOWN], object), profiles.vectors
-    dimensions = vectors.shape[1]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, end, texts in chunks(batch, "text"):
-                best, score = np.full(len(texts), -1), np.zeros(len(texts))
-                if len(vectors):
-                    found = bundles(texts, dimensions)
-                    norms = np.linalg.norm(found, axis=1)
-                    cosines = (found @ vectors.T) / np.where(norms > 0, norms, 1)[:, None]
-                    best = np.where(norms > 0, cosines.argmax(axis=1), -1)
-                    score = np.clip(np.where(norms > 0, cosines.max(axis=1), 0), 0, 1).astype(np.float64)
-                key = batch.column("id").slice(start, end - start)
-                names = pa.array(known[best].tolist(), pa.string())
-                yield pa.RecordBatch.from_arrays([key, names, pa.array(score)], ["id", "lang_pred", "score"])
-
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"id {kind}, lang_pred string, score double")
-    return out.withColumnRenamed("id", id_col)
+    @F.pandas_udf("lang_pred string, score double")
+    def compare(column: pd.Series) -> pd.DataFrame:
+        best, score = np.full(len(column), len(known) - 1), np.zeros(len(column))
+        for start, end, texts in runs(column.tolist()) if len(vectors) else ():
+            found = bundles(texts, vectors.shape[1])
+            norms = np.linalg.norm(found, axis=1)
+            cosines = (found @ vectors.T) / np.where(norms > 0, norms, 1)[:, None]
+            met = norms > 0
+            best[start:end][met] = cosines.argmax(axis=1)[met]
+            score[start:end][met] = np.clip(cosines.max(axis=1)[met], 0, 1)
+        return pd.DataFrame({"lang_pred": known[best], "score": score})
+
+    return compare(text)
+
+
+def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, lang_pred, score of every row; repeated rows and null ids each give theirs."""
+    found = docs.select(F.col(id_col), language(F.col(text_col), profiles).alias("found"))
+    return found.select(id_col, "found.lang_pred", "found.score")
+
+
+def keep_known(
+    docs: DataFrame, profiles: Profiles, least_score: float = LEAST_SCORE, text_col: str = "text"
+) -> DataFrame:
+    """Rows of ``docs`` whose text has a language with at least ``least_score``; no row moves."""
+    rows = docs.select(F.struct("*").alias("row"), language(F.col(text_col), profiles).alias("found"))
+    rows = rows.filter((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= least_score))
+    return rows.select("row.*")
 
 
 def query(spark, sf):
