@@ -16,6 +16,7 @@ pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -105,20 +106,19 @@ def _cells(points: DataFrame, first_bits: int, more_bits: int, cell: int) -> lis
 
 def _cell_pairs(levels: list[tuple[int, DataFrame]], budget: int) -> DataFrame:
     """Pairs (a, a_bits, b, b_bits) of cells whose common bits differ in at most ``budget`` places."""
-    pairs = done = None
-    for depth, (bits, nodes) in enumerate(levels):
+    bits, nodes = levels[0]
+    # First level: the budget bounds the ways in which a node's partners differ from it.
+    ways = [sum(1 << (63 - i) for i in places) for n in range(budget + 1) for places in combinations(range(bits), n)]
+    ways = [way - (1 << 64) if way >> 63 else way for way in ways]
+    first = nodes.select(F.col("prefix").alias("a"), F.col("leaf").alias("a_leaf"), F.lit(bits).alias("a_bits"))
+    first = first.withColumn("b", F.explode(F.transform(F.array(*map(F.lit, ways)), lambda w: F.col("a").bitwiseXOR(w))))
+    other = nodes.select(F.col("prefix").alias("b"), F.col("leaf").alias("b_leaf"), F.lit(bits).alias("b_bits"))
+    pairs = durable(first.filter("a <= b").join(other, "b"))
+    both = F.col("a_leaf") & F.col("b_leaf")
+    done, pairs = pairs.filter(both), pairs.filter(~both)
+    for (above, _), (bits, nodes) in zip(levels, levels[1:]):
         child = nodes.select("prefix", "leaf", F.lit(bits).alias("bits"))
-        if depth == 0:
-            above, up = 0, F.lit(0).cast("long")
-            start = nodes.sparkSession.range(1).select(
-                *(F.lit(0).cast("long").alias(c) for c in ("a", "b")),
-                *(F.lit(0).alias(c) for c in ("a_bits", "b_bits")),
-                *(F.lit(False).alias(c) for c in ("a_leaf", "b_leaf")),
-            )
-            pairs = start
-        else:
-            above = levels[depth - 1][0]
-            up = F.expr(f"shiftleft(shiftright(prefix, {64 - above}), {64 - above})")
+        up = F.expr(f"shiftleft(shiftright(prefix, {64 - above}), {64 - above})")
         for side in ("a", "b"):
             # An open node is replaced by its children, a cell stays.
             kids = child.select(
@@ -138,9 +138,7 @@ def _cell_pairs(levels: list[tuple[int, DataFrame]], budget: int) -> DataFrame:
         common = F.least("a_bits", "b_bits")
         ordered = (F.col("a") < F.col("b")) | ((F.col("a") == F.col("b")) & (F.col("a_bits") <= F.col("b_bits")))
         pairs = durable(pairs.filter(ordered & (_differing("a", "b", common) <= budget)))
-        ready = pairs.filter("a_leaf and b_leaf")
-        done = ready if done is None else done.unionByName(ready)
-        pairs = pairs.filter("not (a_leaf and b_leaf)")
+        done, pairs = done.unionByName(pairs.filter(both)), pairs.filter(~both)
     return done.select("a", "a_bits", "b", "b_bits")
 
 
