@@ -206,7 +206,7 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def entropy(of: CharacterClass):
         return lambda hit: ~hit.rlike(ALLOWED) & hot_range(hit, of).isNotNull()
 
-    steps = [assignment, masked(ACCESS, lambda hit: F.length(hit) >= ACCESS_LENGTH), masked(HEX, lambda hit: F.lit(True))]
+    steps = [assignment, masked(ACCESS, lambda hit: F.length(hit) >= ACCESS_LENGTH), masked(HEX, lambda hit: hit.isNotNull())]
     for of in CLASSES:
         steps.append(masked(of.pattern, entropy(of)))
     text = F.col(text_col)
