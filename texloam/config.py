@@ -67,6 +67,9 @@ class CleanSpec:
     datetime_threshold: float = 0.8
     clean_code: bool = False
     clean_code_if_found: bool = False
+    #: Map English plurals by their ending. Endings alone also hit words like "series",
+    #: so this is off unless asked for; a lemma table is the safer way.
+    plurals: bool = False
 
     def __post_init__(self) -> None:
         if self.language not in LANGUAGES:

@@ -20,10 +20,11 @@ CODE_SIGNS = (
     rf"|from[{SPACE}]+[{WORD}.]+[{SPACE}]+import"
     rf"|for[{SPACE}]+[{WORD}]+[{SPACE}]+in[{SPACE}]+"
     rf"|while[{SPACE}]*\("
-    rf"|if[{SPACE}]*\(.+\)[{SPACE}]*[:{{]"
     rf"|else[{SPACE}]*[:{{]"
     "|<script|<style|<html|<body)"
 )
+# A condition of any length: only the first "if (" can decide, so it is tried alone.
+CONDITION = rf"(?is)\A(?>.*?if[{SPACE}]*+\().+\)[{SPACE}]*+[:{{]"
 TAG = "<[^>]+>"
 DICT_VALUE = rf""":[{SPACE}]*"([^"]*)"|:[{SPACE}]*'([^']*)'|:[{SPACE}]*([^,'"}}]+)"""
 BLOCK_PREVIEW = 30
@@ -32,7 +33,7 @@ DEEPEST_LIST = 10
 
 def has_code(text: Column) -> Column:
     """Some sign of code or page markup is present."""
-    return text.rlike(CODE_SIGNS)
+    return text.rlike(CODE_SIGNS) | text.rlike(CONDITION)
 
 
 def label_code_blocks(text: Column) -> Column:

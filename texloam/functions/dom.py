@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 from itertools import accumulate
 from typing import NamedTuple
@@ -19,6 +20,10 @@ LIST_TAGS = frozenset("ol ul menu".split())
 CONTEXT_TAGS = frozenset("article section main".split())
 CONTEXT_CLASSES = frozenset("content main article".split())
 TEXT_NODES = "#text"
+# Selector syntax: a step, its parts (name and value of an attribute), what stands between steps.
+PART = re.compile(r"""([.#][\w-]+|\[([\w-]+)(=(?:"[^"]*"|'[^']*'|[\w-]+))?\])""")
+STEP = re.compile(rf"(?P<tag>\*|[A-Za-z][\w-]*)?(?P<parts>(?:{PART.pattern})*)")
+GAP = re.compile(r"\s*>\s*|\s+")
 
 
 class Element(NamedTuple):
@@ -31,13 +36,76 @@ class Element(NamedTuple):
     parent_length: int
 
 
+class Compound(NamedTuple):
+    """One step of a selector: what an element must have, and whether its parent must match the step before."""
+
+    tag: str | None
+    classes: frozenset
+    ids: frozenset
+    attributes: tuple
+    child: bool
+
+
+def parse_selector(selector: str) -> list[Compound]:
+    """Steps of a selector: tags, classes, ids, attributes, descendants and children.
+
+    Anything else raises ``ValueError``, so that no selector silently finds nothing.
+    """
+    steps, rest, child = [], selector.strip(), False
+    while rest:
+        hit = STEP.match(rest)
+        if not hit or not hit[0]:
+            raise ValueError(f"unsupported selector: {selector!r}")
+        parts = PART.findall(hit["parts"])
+        steps.append(
+            Compound(
+                None if hit["tag"] in (None, "*") else hit["tag"].lower(),
+                frozenset(p[1:] for p, _, _ in parts if p[0] == "."),
+                frozenset(p[1:] for p, _, _ in parts if p[0] == "#"),
+                tuple((name.lower(), value[1:].strip("\"'") if value else None) for p, name, value in parts if p[0] == "["),
+                child,
+            )
+        )
+        rest = rest[hit.end() :]
+        gap = GAP.match(rest)
+        if rest and (not gap or not rest[gap.end() :]):
+            raise ValueError(f"unsupported selector: {selector!r}")
+        child = bool(gap) and ">" in gap[0]
+        rest = rest[gap.end() :] if gap else rest
+    if not steps:
+        raise ValueError("empty selector")
+    return steps
+
+
+def _fits(node, step):
+    return (
+        (step.tag is None or node.tag == step.tag)
+        and step.classes <= node.classes
+        and (not step.ids or step.ids == {node.attributes.get("id")})
+        and all(
+            name in node.attributes and (value is None or node.attributes[name] == value)
+            for name, value in step.attributes
+        )
+    )
+
+
+def _selected(node, steps):
+    """Whether the node matches the last step and its ancestors the steps before."""
+    if not _fits(node, steps[-1]):
+        return False
+    if len(steps) == 1:
+        return True
+    above = [node.parent] if steps[-1].child else _ancestors(node)
+    return any(a is not None and _selected(a, steps[:-1]) for a in above)
+
+
 class _Node:
-    __slots__ = ("tag", "classes", "href", "parent", "start", "end")
+    __slots__ = ("tag", "classes", "attributes", "parent", "start", "end")
 
     def __init__(self, tag, attributes, parent, start):
         self.tag = tag
         self.classes = frozenset((attributes.get("class") or "").split())
-        self.href = attributes.get("href")
+        self.attributes = attributes
         self.parent = parent
         self.start = start
         self.end = None
@@ -98,8 +166,12 @@ class _Tree(HTMLParser):
         self._close_to(0)
 
 
-def page_elements(html: str, selectors: list[str], context_below: int | None) -> list[Element]:
-    """Elements with text that match a selector: ``tag``, ``tag.class``, ``#text``.
+def page_elements(
+    html: str, selectors: list[str], context_below: int | None, with_empty: bool = False, wanted_text=None
+) -> list[Element]:
+    """Elements with text (``with_empty``: any) that match a selector, and text nodes for ``#text``.
+
+    Only elements whose text passes ``wanted_text`` are built.
 
     ``context`` is the text of the nearest article, section or main, else of a
     content div, else of the parent: the first that is longer than the element
@@ -109,7 +181,7 @@ def page_elements(html: str, selectors: list[str], context_below: int | None) ->
     tree.feed(html)
     tree.finish()
     sizes = [0, *accumulate(len(p) for p in tree.pieces)]
-    wanted = [(s, *s.partition(".")[::2]) for s in selectors]
+    wanted = [(s, parse_selector(s)) for s in selectors if s != TEXT_NODES]
 
     def size(node):
         return sizes[node.end] - sizes[node.start]
@@ -132,14 +204,17 @@ def page_elements(html: str, selectors: list[str], context_below: int | None) ->
 
     out = []
     for pos, node in enumerate(tree.nodes):
-        hits = [s for s, tag, cls in wanted if node.tag == tag and (not cls or cls in node.classes)]
-        if hits and size(node):
-            shared = (content(node), context(node), size(node.parent) if node.parent else 0)
-            out += [Element(s, pos, node.tag, node.href, *shared) for s in hits]
+        hits = [s for s, steps in wanted if _selected(node, steps)]
+        if hits and (with_empty or size(node)):
+            text = content(node)
+            if wanted_text is None or wanted_text(text):
+                shared = (text, context(node), size(node.parent) if node.parent else 0)
+                out += [Element(s, pos, node.tag, node.attributes.get("href"), *shared) for s in hits]
     if TEXT_NODES in selectors:
         out += [
             Element(TEXT_NODES, i, TEXT_NODES, None, piece, None, 0)
             for i, piece in enumerate(tree.pieces)
+            if wanted_text is None or wanted_text(piece)
         ]
     return out
 

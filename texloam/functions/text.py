@@ -13,7 +13,9 @@ from texloam.functions.words import split_general
 
 # Fixed values.
 URL_PATTERN = rf"https?://[^{SPACE}]+|www\.[^{SPACE}]+"
-EMAIL_PATTERN = rf"[{WORD}.-]+@[{WORD}.-]+\.[{WORD}]+"
+# A local part starts where its run of characters does, or where the last match ended:
+# other places cannot begin a longer match, and trying them makes long runs quadratic.
+EMAIL_PATTERN = rf"(?:\G|(?<![{WORD}.-]))[{WORD}.-]++@[{WORD}.-]+\.[{WORD}]+"
 PUNCTUATION_WITHOUT_BLANK = r"([.,?!])(?! )"
 NON_ASCII_RUN = r"[^\x00-\x7F]+"
 # The letter comes first and what follows it second: inside a word that fails at once.

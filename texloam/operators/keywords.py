@@ -34,12 +34,14 @@ def keyword_matches(
 ) -> DataFrame:
     """Rows of ``elements`` once per keyword they contain, with the form found.
 
-    The keywords are constants; a row is copied only for keywords that match.
-    Longer lists go through :func:`keyword_table_matches`.
+    Up to ``CONSTANT_KEYWORDS`` keywords are constants of the plan, and a row is
+    copied only for keywords that match.  A longer list goes through
+    :func:`keyword_table_matches`, with the same rows.
     """
     wanted = list(dict.fromkeys(k for k in keywords if k.strip()))
     if len(wanted) > CONSTANT_KEYWORDS:
-        raise ValueError(f"more than {CONSTANT_KEYWORDS} keywords: use keyword_table_matches")
+        names = elements.sparkSession.createDataFrame([(k,) for k in wanted], "keyword string")
+        return keyword_table_matches(elements, names, elements.columns, text, parts)
 
     def found(keyword: str) -> Column:
         # The lower-cased text is a column of its own, so it is made once per row.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -14,22 +16,23 @@ SALTS = 64
 def link_reach(
     edges: DataFrame,
     seeds: DataFrame,
-    max_depth: int = 10,
+    max_depth: int | None = None,
     max_pages: int | None = None,
 ) -> DataFrame:
     """(seed, node, depth): nodes reachable from each seed, each node once.
 
-    ``edges`` has (src, dst), ``seeds`` has (seed, node).  ``max_pages`` bounds
+    ``edges`` has (src, dst), ``seeds`` has (seed, node).  The walk ends when a
+    level finds nothing new, or at ``max_depth`` if given.  ``max_pages`` bounds
     the nodes per seed: nearer first, then by name; nodes past the bound are not
     followed.  Every level is one join and one anti-join and is checkpointed to
     the shared folder, which cuts the lineage and survives lost executors.
     """
     ensure_checkpoint_dir(edges.sparkSession)
-    edges = edges.select("src", "dst").distinct().checkpoint()
+    edges = edges.select("src", "dst").distinct().repartition("src").checkpoint()
     level = seeds.select("seed", "node").distinct().withColumn("depth", F.lit(0))
     level = _bounded(level, None, max_pages).checkpoint()
     reached = level
-    for depth in range(1, max_depth + 1):
+    for depth in count(1) if max_depth is None else range(1, max_depth + 1):
         found = (
             level.join(edges, level["node"] == edges["src"])
             .select("seed", F.col("dst").alias("node"))

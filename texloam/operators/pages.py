@@ -21,13 +21,24 @@ cloudpickle.register_pickle_by_value(dom)
 
 # Fixed values.
 SELECTORS = (
-    *("h1", "h2", "h3", "h4", "p", "li", "div.content", "article", "section"),
-    *("div.main", "div.article", "main"),
+    "h1",
+    "h2",
+    "h3",
+    "h4",
+    "p",
+    "li",
+    "div.content",
+    "article",
+    "section",
+    "div.main",
+    "div.article",
+    "main",
 )
 SHORT_SELECTORS = ("h1", "h2", "h3", "p", "li", "div.content", "article", "section")
 CONTEXT_BELOW = 2000
 LEAST_PAGE_LENGTH = 500
-ROWS_PER_BATCH = 5000
+# Rows leave a task in batches of so many rows or characters.
+ROWS_PER_BATCH, CHARS_PER_BATCH = 5000, 8_000_000
 
 
 def with_html(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -54,10 +65,10 @@ def page_link_table(
     """One row per page: total, five counts and five comma-joined link lists."""
     found = rules.links(F.col(html), F.col(base) if base else None, spec)
     linked = with_html(pages, html).select(*key, found.alias("links"))
-    columns = [F.size("links").alias("total_links")]
+    columns = [F.size("links").cast("long").alias("total_links")]
     for c in rules.CATEGORIES:
         own = _of_category(F.col("links"), c)
-        columns.append(F.size(own).alias(f"{c}_count"))
+        columns.append(F.size(own).cast("long").alias(f"{c}_count"))
         columns.append(F.array_join(own["link"], ",").alias(f"{c}_links"))
     return linked.select(*key, *columns)
 
@@ -88,9 +99,7 @@ def internal_links(
     pages: DataFrame, key: Sequence[str], url: str = "url", html: str = "html"
 ) -> DataFrame:
     """(key, link): distinct links of a page to its own host, without fragments."""
-    raw = F.array_distinct(
-        F.regexp_extract_all(F.col(html), F.lit(rules.ANCHOR_HREF), F.lit(1))
-    )
+    raw = F.array_distinct(rules.tag_values(F.col(html), rules.ANCHOR_HREF))
     found = with_html(pages, html).select(
         *key,
         url_host(F.col(url)).alias("_host"),
@@ -110,14 +119,27 @@ def page_elements(
     html: str = "html",
     selectors: Sequence[str] = SELECTORS,
     context_below: int | None = CONTEXT_BELOW,
+    with_empty: bool = False,
+    containing: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per element with text and selector it matches.
+    """One row per element with text (``with_empty``: any element) and selector it matches.
 
-    A selector is ``tag``, ``tag.class`` or ``#text`` for the bare text nodes.
+    A selector is made of tags, ``.class``, ``#id``, ``[attribute]`` and
+    ``[attribute=value]``, with blanks for descendants and ``>`` for children, or
+    is ``#text`` for the bare text nodes; other syntax raises ``ValueError``.
+    With ``containing``, only elements that have one of these strings in their
+    lower-cased text are built.
 
     A page is one cell, so its tree is built inside the task that reads it; only
     the keys and the HTML travel to Python, rows leave in bounded batches.
     """
+    for selector in selectors:
+        if selector != dom.TEXT_NODES:
+            dom.parse_selector(selector)
+    test = None
+    if containing is not None:
+        forms = list(containing)
+        test = lambda text: any(f in text.lower() for f in forms)
     fields = [pages.schema[k] for k in key]
     schema = StructType(
         [
@@ -136,11 +158,14 @@ def page_elements(
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows: list[tuple] = []
+            chars = 0
             for *ids, page in batch.itertuples(index=False, name=None):
-                rows += [(*ids, *e) for e in dom.page_elements(page, wanted, context_below)]
-                if len(rows) >= ROWS_PER_BATCH:
+                found = dom.page_elements(page, wanted, context_below, with_empty, test)
+                rows += [(*ids, *e) for e in found]
+                chars += sum(len(e.text) + len(e.context or "") for e in found)
+                if len(rows) >= ROWS_PER_BATCH or chars >= CHARS_PER_BATCH:
                     yield pd.DataFrame(rows, columns=names)
-                    rows = []
+                    rows, chars = [], 0
             yield pd.DataFrame(rows, columns=names)
 
     return with_html(pages, html).select(*key, html).mapInPandas(parse, schema)
@@ -152,9 +177,10 @@ def link_priorities(
     """(key, link, priority) of internal links; a link keeps its best priority.
 
     Three points for an anchor text above 8 characters, two for a parent text
-    above 40, two for a link without a query.
+    above 40, two for a link without a query.  Links without text, such as those
+    around a picture, count as well.
     """
-    anchors = page_elements(pages, [*key, url], html, ["a"], context_below=0)
+    anchors = page_elements(pages, [*key, url], html, ["a"], context_below=0, with_empty=True)
     link = resolve_url(F.col(url), F.col("href"))
     found = anchors.filter(
         F.col("href").isNotNull() & ~F.col("href").rlike(r"^$|^#$|^javascript:")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -62,14 +64,16 @@ def lemmatize(
     tokens: str = "tokens",
     held_rows: int = HELD_LEMMAS,
 ) -> DataFrame:
-    """Replace tokens by their lemma from a (word, lemma) table with unique words.
+    """Replace tokens by their lemma from a (word, lemma) table.
 
-    A small table, counted first, is held by the tasks and looked up batch by
-    batch without a shuffle.  A larger one is joined: the tokens that have a
-    lemma are found by an equi-join, gathered per ``key`` (unique per row) and
-    joined back.
+    Of a word that is repeated the first lemma by name counts; rows without word
+    or lemma say nothing.  A small table, counted first, is held by the tasks and
+    looked up batch by batch without a shuffle.  A larger one is joined: the
+    tokens that have a lemma are found by an equi-join, gathered per ``key`` and
+    joined back, null keys included.  Both ways give the same rows.
     """
     lemmas = lemmas.select(F.col("word").cast("string"), F.col("lemma").cast("string"))
+    lemmas = lemmas.dropna().groupBy("word").agg(F.min("lemma").alias("lemma"))
     head = lemmas.limit(held_rows + 1).collect()
     if len(head) <= held_rows:
         return _lemmatize_held(df, {r.word: r.lemma for r in head}, tokens)
@@ -90,24 +94,25 @@ def _lemmatize_held(df: DataFrame, table: dict[str, str], tokens: str) -> DataFr
 def _lemmatize_joined(
     df: DataFrame, lemmas: DataFrame, key: Sequence[str], tokens: str
 ) -> DataFrame:
-    used = df.select(*key, F.explode(F.array_distinct(tokens)).alias("word"))
-    found = (
-        used.join(lemmas, "word")
-        .groupBy(*key)
-        .agg(F.map_from_entries(F.collect_list(F.struct("word", "lemma"))).alias("_lemmas"))
-    )
+    used = df.select(*key, F.explode(F.array_distinct(tokens)).alias("word")).distinct()
+    pairs = used.join(lemmas, "word").groupBy(*key)
+    # Rows that repeat their key share one table of their words; a word has one lemma.
+    found = pairs.agg(F.collect_set(F.struct("word", "lemma")).alias("_lemmas"))
+    found = found.withColumnsRenamed({k: f"_of_{k}" for k in key})
 
+    # A dictionary for each row: Spark's maps are searched from the front for every token.
     @F.pandas_udf("array<string>")
     def look_up(column: pd.Series, tables: pd.Series) -> pd.Series:
         def one(row, table):
             if row is None or table is None:
                 return row
-            get = dict(table).get
+            get = {pair["word"]: pair["lemma"] for pair in table}.get
             return [get(t, t) for t in row]
 
-        return pd.Series([one(r, t) for r, t in zip(column, tables, strict=True)])
+        return pd.Series([one(r, t) for r, t in zip(column, tables, strict=True)], dtype=object)
 
-    joined = df.join(found, list(key), "left")
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in key))
+    joined = df.join(found, same, "left")
     return joined.withColumn(tokens, look_up(F.col(tokens), F.col("_lemmas"))).select(*df.columns)
 
 
@@ -134,6 +139,7 @@ def clean_and_normalize(
         tokens = rules.tokenize(text_rules.clean(value, spec))
         if letters_only:
             tokens = rules.keep_letter_tokens(tokens)
-        return F.array_join(F.transform(rules.drop_stop_words(tokens, words), rules.singular), " ")
+        kept = rules.drop_stop_words(tokens, words)
+        return F.array_join(F.transform(kept, rules.singular) if spec.plurals else kept, " ")
 
     return df.withColumns({c: rule(null_to_blank(F.col(c).cast("string"))) for c in chosen})

@@ -79,8 +79,8 @@ _CONTACT = "text || ' see http://' || source || '.org/' || lang || ' or ask ' ||
 @query(
     lambda: f"""
     SELECT lang, count(*) AS texts,
-           sum(len(regexp_extract_all(t, ' URL '))) AS urls,
-           sum(len(regexp_extract_all(t, ' EMAIL '))) AS emails
+           sum(len(regexp_extract_all(t, ' URL ')))::BIGINT AS urls,
+           sum(len(regexp_extract_all(t, ' EMAIL ')))::BIGINT AS emails
     FROM (SELECT lang, {q.placeholders(_CONTACT)} AS t FROM documents) GROUP BY lang"""
 )
 def placeholder_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -100,7 +100,7 @@ def placeholder_counts(spark: SparkSession, sf: str) -> DataFrame:
 )
 def sentence_counts(spark: SparkSession, sf: str) -> DataFrame:
     docs = texts(spark, sf, "documents")
-    rows = docs.select("doc_id", F.size(text.sentences(F.col("text"))).alias("sentences"))
+    rows = docs.select("doc_id", F.size(text.sentences(F.col("text"))).cast("long").alias("sentences"))
     return rows
 
 
@@ -225,7 +225,7 @@ def stopword_filter_by_language(spark: SparkSession, sf: str) -> DataFrame:
     docs = texts(spark, sf, "documents").select("doc_id", "lang", "text")
     present = ("english", "french", "german", "spanish")
     kept = token_jobs.normalize_tokens(docs, "text", F.col("lang"), languages=present)
-    return kept.select("doc_id", F.size("tokens").alias("n_tokens"), "norm_text")
+    return kept.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), "norm_text")
 
 
 def _alpha_sql() -> str:
@@ -238,7 +238,8 @@ def _alpha_sql() -> str:
 
 @query(_alpha_sql)
 def alpha_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return token_jobs.clean_and_normalize(texts(spark, sf, "conversations"), exclude=["role"])
+    spec = CleanSpec(placeholders=False, plurals=True)
+    return token_jobs.clean_and_normalize(texts(spark, sf, "conversations"), exclude=["role"], spec=spec)
 
 
 _LEMMA_SQL = f"""
@@ -310,7 +311,7 @@ _PAGE_HREFS = """
 
 
 def _page_hrefs(spark: SparkSession, sf: str) -> DataFrame:
-    found = F.regexp_extract_all("html", F.lit(html.ANCHOR_HREF), F.lit(1))
+    found = html.tag_values(F.col("html"), html.ANCHOR_HREF)
     return texts(spark, sf, "pages").select("page_id", "url", F.explode(found).alias("href"))
 
 
@@ -422,11 +423,14 @@ def page_link_table(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     lambda: f"""
-    SELECT page_id, {q.unescape("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title
+    SELECT page_id, {q.unescape("'A &mdash; b&#8217;s caf&eacute; &#xe9; &unknown; ' || regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title
     FROM pages WHERE length(html) > 500"""
 )
 def page_titles(spark: SparkSession, sf: str) -> DataFrame:
-    return pages.page_titles(pages.substantial_pages(table(spark, sf, "pages")), ["page_id"])
+    """Titles, with entities put into every page's title."""
+    stored = pages.substantial_pages(table(spark, sf, "pages"))
+    marked = F.regexp_replace("html", "(?i)(<title[^>]*>)", "$1A &mdash; b&#8217;s caf&eacute; &#xe9; &unknown; ")
+    return pages.page_titles(stored.withColumn("html", marked), ["page_id"])
 
 
 def _pieces(pattern: str) -> str:
@@ -435,27 +439,39 @@ def _pieces(pattern: str) -> str:
     )
 
 
-# Elements of the stored pages: a paragraph is plain text up to the next tag,
-# after an optional <b>; headings and list items hold text alone.
+def _text_of(pattern: str) -> str:
+    """The text of the first piece of a page that matches, without scripts and styles."""
+    piece = f"regexp_extract(html, {q.lit(pattern)}, 1)"
+    piece = f"regexp_replace({piece}, '(?is)<(script|style)[^>]*>.*?</(script|style)>', '<x>', 'g')"
+    return (
+        f"array_to_string(list_transform(string_split_regex({piece}, '(?s)<!--.*?-->|<[^>]+>'), "
+        f"lambda x: {q.strip(q.unescape('x'))}), '')"
+    )
+
+
+_ARTICLE_TEXT = _text_of("(?s)<article>(.*?)</article>")
+
+# Elements of the stored pages that the default selectors find: a paragraph is plain
+# text up to the next tag, after an optional <b>; headings and list items hold text alone.
 _ELEMENTS_SQL = f"""
     el AS (
       SELECT page_id, url, html, selector, {q.strip(q.unescape("piece"))} AS text FROM (
         SELECT *, 'h1' AS selector FROM ({_pieces('(?s)<h1[^>]*>([^<]*)')})
         UNION ALL SELECT *, 'p' FROM ({_pieces('(?s)<p>(?:<b>)?([^<]*)')})
-        UNION ALL SELECT *, 'li' FROM ({_pieces('(?s)<li><a[^>]*>([^<]*)')})))"""
-_SMALL = ("h1", "p", "li")
+        UNION ALL SELECT *, 'li' FROM ({_pieces('(?s)<li><a[^>]*>([^<]*)')}))
+      UNION ALL SELECT page_id, url, html, 'article', {_ARTICLE_TEXT} FROM pages)"""
 
 
 @query(f"WITH {_ELEMENTS_SQL} SELECT page_id, selector, text FROM el WHERE text <> ''")
 def page_elements(spark: SparkSession, sf: str) -> DataFrame:
-    found = pages.page_elements(texts(spark, sf, "pages"), ["page_id"], selectors=_SMALL)
+    found = pages.page_elements(texts(spark, sf, "pages"), ["page_id"])
     return found.select("page_id", "selector", "text")
 
 
 @query(
     f"""
     SELECT page_id, text FROM (
-      SELECT page_id, {q.strip(q.unescape("replace(replace(unnest(string_split_regex(body, '(?s)<!--.*?-->|<[^>]+>')), '&copy;', '©'), '&middot;', '·')"))} AS text
+      SELECT page_id, {q.strip(q.unescape("unnest(string_split_regex(body, '(?s)<!--.*?-->|<[^>]+>'))"))} AS text
       FROM (SELECT page_id, regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>|<!DOCTYPE[^>]*>', '<x>', 'g') AS body FROM pages))
     WHERE text <> ''"""
 )
@@ -464,13 +480,6 @@ def page_text_nodes(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("page_id", "text")
 
 
-_ARTICLE = "regexp_extract(html, '(?s)<article>(.*?)</article>', 1)"
-_ARTICLE_TEXT = (
-    f"array_to_string(list_transform(string_split_regex({_ARTICLE}, '(?s)<!--.*?-->|<[^>]+>'), "
-    f"lambda x: {q.strip(q.unescape('x'))}), '')"
-)
-
-
 @query(f"SELECT page_id, {_ARTICLE_TEXT} AS text FROM pages WHERE {_ARTICLE_TEXT} <> ''")
 def page_articles(spark: SparkSession, sf: str) -> DataFrame:
     found = pages.page_elements(texts(spark, sf, "pages"), ["page_id"], selectors=["article"])
@@ -480,10 +489,13 @@ def page_articles(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     f"""
     SELECT DISTINCT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') || {q.unescape("href")} AS link
-    FROM ({_PAGE_HREFS})"""
+    FROM ({_PAGE_HREFS} UNION ALL SELECT page_id, url, '/caf&eacute;&#8217;s' AS href FROM pages)"""
 )
 def internal_links(spark: SparkSession, sf: str) -> DataFrame:
-    return pages.internal_links(texts(spark, sf, "pages"), ["page_id"])
+    """Links to the own host, one with entities put into every page."""
+    stored = texts(spark, sf, "pages")
+    marked = F.concat("html", F.lit('<a href="/caf&eacute;&#8217;s">x</a>'))
+    return pages.internal_links(stored.withColumn("html", marked), ["page_id"])
 
 
 @query(
@@ -495,11 +507,15 @@ def internal_links(spark: SparkSession, sf: str) -> DataFrame:
       SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*')
              || {q.unescape("regexp_extract(a, 'href=" + '"([^"]*)' + "', 1)")} AS link,
              {q.strip(q.unescape("regexp_extract(a, '>([^<]*)', 1)"))} AS t
-      FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="[^"]*">[^<]*')) AS a FROM pages))
-    WHERE t <> '' GROUP BY page_id, link ORDER BY priority DESC, link"""
+      FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="[^"]*">[^<]*')) AS a FROM
+            (SELECT page_id, url, html || '<div><a href="/picture?of=' || page_id || '"><img src="x.png"></a></div>' AS html FROM pages)))
+    GROUP BY page_id, link ORDER BY priority DESC, link"""
 )
 def internal_link_priority(spark: SparkSession, sf: str) -> DataFrame:
-    found = pages.link_priorities(texts(spark, sf, "pages"), ["page_id"])
+    """Priorities of links, with a picture's link put into every page."""
+    stored = texts(spark, sf, "pages")
+    picture = F.format_string('<div><a href="/picture?of=%d"><img src="x.png"></a></div>', "page_id")
+    found = pages.link_priorities(stored.withColumn("html", F.concat("html", picture)), ["page_id"])
     return found.orderBy(F.desc("priority"), "link")
 
 
@@ -523,24 +539,27 @@ def _matches_sql() -> str:
 
 @query(lambda: _matches_sql() + " SELECT page_id, selector, keyword, matched_keyword, text FROM m")
 def keyword_matches(spark: SparkSession, sf: str) -> DataFrame:
-    elements = pages.page_elements(texts(spark, sf, "pages"), ["page_id"], selectors=_SMALL)
+    elements = pages.page_elements(texts(spark, sf, "pages"), ["page_id"])
     found = keywords.keyword_matches(elements, _KEYWORDS)
     return found.select("page_id", "selector", "keyword", "matched_keyword", "text")
 
 
 def _search_sql() -> str:
     title = q.unescape("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")
+    # An article's surroundings are the body, a list item's its list, all else is in the article.
+    around = f"""CASE selector WHEN 'article' THEN {_text_of("(?s)<body>(.*)$")}
+        WHEN 'li' THEN {_text_of("(?s)<ul>(.*?)</ul>")} ELSE {_ARTICLE_TEXT} END"""
     return (
         _matches_sql()
-        + f""" SELECT page_id, url, {title} AS title, selector, text, keyword, matched_keyword,
-        CASE WHEN selector <> 'li' AND length({_ARTICLE_TEXT}) > length(text) AND length({_ARTICLE_TEXT}) < 2000
-        THEN {_ARTICLE_TEXT} END AS context FROM m WHERE selector <> 'li'"""
+        + f""" SELECT page_id, url, title, selector, text, keyword, matched_keyword,
+        CASE WHEN length(around) > length(text) AND length(around) < 2000 THEN around END AS context
+        FROM (SELECT *, {title} AS title, {around} AS around FROM m)"""
     )
 
 
 @query(_search_sql)
 def keyword_search(spark: SparkSession, sf: str) -> DataFrame:
-    found = stages.keyword_search(texts(spark, sf, "pages"), _KEYWORDS, ["h1", "p"])
+    found = stages.keyword_search(texts(spark, sf, "pages"), _KEYWORDS)
     return found.select(
         "page_id", "url", "title", "selector", "text", "keyword", "matched_keyword", "context"
     )
@@ -612,6 +631,9 @@ def keyword_exact_case(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- link graph ------------------------------------------------------------
 
+# SQL recursion ends at a depth that no page has; a test compares it with the walk.
+_DEEPER_THAN_ANY_PAGE = 10
+
 # Every stored page links to the root of its host, every root to its pages, and
 # pages keep their own links.
 _GRAPH_SQL = f"""
@@ -622,7 +644,7 @@ _GRAPH_SQL = f"""
     seeds AS (SELECT regexp_extract(html, '<html lang="([a-z]*)"', 1) AS seed, min(url) AS node FROM pages GROUP BY 1),
     walk AS (
       SELECT seed, node, 0 AS depth FROM seeds
-      UNION SELECT seed, dst, depth + 1 FROM walk JOIN edges ON node = src WHERE depth < 4),
+      UNION SELECT seed, dst, depth + 1 FROM walk JOIN edges ON node = src WHERE depth < {_DEEPER_THAN_ANY_PAGE}),
     reach AS (SELECT seed, node, min(depth) AS depth FROM walk GROUP BY seed, node)"""
 
 
@@ -640,7 +662,7 @@ def _graph(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 @query(f"WITH RECURSIVE {_GRAPH_SQL} SELECT seed, node, depth FROM reach")
 def link_reach(spark: SparkSession, sf: str) -> DataFrame:
     edges, seeds = _graph(spark, sf)
-    return linkgraph.link_reach(edges, seeds, max_depth=4)
+    return linkgraph.link_reach(edges, seeds)
 
 
 @query(
@@ -649,7 +671,7 @@ def link_reach(spark: SparkSession, sf: str) -> DataFrame:
 )
 def link_reach_bounded(spark: SparkSession, sf: str) -> DataFrame:
     edges, seeds = _graph(spark, sf)
-    return linkgraph.link_reach(edges, seeds, max_depth=4, max_pages=20)
+    return linkgraph.link_reach(edges, seeds, max_pages=20)
 
 
 # --- column roles ----------------------------------------------------------
@@ -1085,14 +1107,14 @@ def _sink_sql() -> str:
     return (
         _matches_sql()
         + """ SELECT keyword, 'https://pages.example.org' AS website, count(*) AS items_count FROM m
-        WHERE selector <> 'li' GROUP BY keyword"""
+        GROUP BY keyword"""
     )
 
 
 @query(_sink_sql)
 def keyword_sink(spark: SparkSession, sf: str) -> DataFrame:
     path, site = scratch_path(spark, "keywords"), "https://pages.example.org"
-    found = stages.keyword_search(texts(spark, sf, "pages"), _KEYWORDS, ["h1", "p"])
+    found = stages.keyword_search(texts(spark, sf, "pages"), _KEYWORDS)
     writers.write_keyword_files(found, path, site, kind="json")
     rows = spark.read.json(f"{path}/data")
     return writers.keyword_envelopes(rows, site, "").drop("timestamp")

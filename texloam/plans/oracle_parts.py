@@ -164,8 +164,7 @@ def singular(token: str) -> str:
 
 
 def normalized(expr: str, stops: str) -> str:
-    kept = without_stop_words(tokens(expr), stops)
-    return f"array_to_string(list_transform({kept}, lambda t: {singular('t')}), ' ')"
+    return f"array_to_string({without_stop_words(tokens(expr), stops)}, ' ')"
 
 
 TRACKING = (
@@ -197,6 +196,12 @@ def unescape(expr: str) -> str:
         ("&gt;", ">"),
         ("&quot;", '"'),
         ("&#39;", "'"),
+        ("&#8217;", "’"),
+        ("&#xe9;", "é"),
+        ("&mdash;", "—"),
+        ("&eacute;", "é"),
+        ("&copy;", "©"),
+        ("&middot;", "·"),
         ("&amp;", "&"),
     ):
         expr = f"replace({expr}, {lit(entity)}, {lit(character)})"

@@ -34,7 +34,7 @@ def process_table(
 
     Roles not given are detected in one aggregate; all rewriting is then one
     projection.  A column has one role: URL before text before datetime.
-    ``normalize`` also drops stop words and maps plurals in text columns; dates
+    ``normalize`` also drops stop words in text columns; dates
     inside ``date_text_columns`` are rewritten last.
     """
     spec = spec or CleanSpec()
@@ -63,7 +63,7 @@ def process_table(
         if not normalize:
             return value
         kept = tokens.drop_stop_words(tokens.tokenize(value), words)
-        return F.array_join(F.transform(kept, tokens.singular), " ")
+        return F.array_join(F.transform(kept, tokens.singular) if spec.plurals else kept, " ")
 
     if coded:
         df = clean_code(df, coded)
@@ -211,8 +211,10 @@ def keyword_search(
 ) -> DataFrame:
     """Matches of keywords in the elements of stored pages, with page title and URL."""
     titled = pages.select("page_id", "url", html.title(F.col("html")).alias("title"), "html")
+    # Elements without any form are dropped before their context is built.
+    forms = {f for k in keywords if k.strip() for f in keyword_jobs.keyword_forms(k, parts)}
     elements = page_jobs.page_elements(
-        titled, ["page_id", "url", "title"], "html", selectors, context_below
+        titled, ["page_id", "url", "title"], "html", selectors, context_below, containing=sorted(forms)
     )
     return keyword_jobs.keyword_matches(elements.drop("href", "parent_length"), keywords, parts=parts)
 
