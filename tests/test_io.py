@@ -60,11 +60,31 @@ def test_folder_runs(spark, tmp_path):
     assert len(readers.list_files(spark, str(folder))) == 2
     stages.process_folder(spark, str(folder), str(tmp_path / "out"))
     one = spark.read.option("header", True).csv(str(tmp_path / "out" / "cleaned_one.csv"))
-    assert rows(one) == [("car", "1")]
+    assert rows(one) == [("cars", "1")]
     spec = CleanSpec(split_methods=("camel",))
     stages.process_folder(spark, str(folder), str(tmp_path / "same"), spec, same_schema=True)
     both = spark.read.option("header", True).csv(str(tmp_path / "same" / "cleaned"))
-    assert rows(both.select("source_file", "text")) == [("one", "car"), ("two", "seven dog barked night")]
+    assert rows(both.select("source_file", "text")) == [("one", "cars"), ("two", "seven dogs barked night")]
+
+
+def test_files_that_differ_in_their_extension_keep_their_outputs(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("text,n\none two three four,1\n")
+    (folder / "a.jsonl").write_text('{"text": "five six seven eight", "n": 2}\n')
+    stages.process_folder(spark, str(folder), str(tmp_path / "out"))
+    read = {n: spark.read.option("header", True).csv(str(tmp_path / "out" / f"cleaned_{n}.csv")).first().n for n in ("a_csv", "a_jsonl")}
+    assert read == {"a_csv": "1", "a_jsonl": "2"}
+
+
+def test_json_in_another_encoding(spark, tmp_path):
+    (tmp_path / "x.jsonl").write_bytes('{"t": "caf\u00e9"}\n'.encode("latin-1"))
+    assert readers.read_json(spark, str(tmp_path / "x.jsonl"), lines=True, encoding="ISO-8859-1").first().t == "caf\u00e9"
+
+
+def test_keyword_rows_keep_other_columns(spark):
+    found = spark.createDataFrame([("k", "t", 7)], "keyword string, text string, depth int")
+    assert writers.keyword_rows(found, "now").columns[-2:] == ["context", "depth"]
 
 
 def test_tutorial_file(spark, tmp_path):
@@ -136,6 +156,7 @@ def test_checkpoint_folder_comes_from_the_session(spark):
 
 def test_small_scans_are_spread_and_large_ones_kept(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    assert readers.spread(docs).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    cores = spark.sparkContext.defaultParallelism
+    assert readers.spread(docs, cores).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     wide = spark.range(0, 10, numPartitions=9)
-    assert readers.spread(wide) is wide
+    assert readers.spread(wide, cores) is wide

@@ -41,17 +41,20 @@ def clean_text(
 ) -> DataFrame:
     """Clean text columns.
 
-    ``repetitive`` cleans every distinct text once and joins the result back;
-    it pays only when most texts occur many times, since it shuffles them.
+    ``repetitive`` cleans every distinct text once and joins the result back by
+    two hashes of the text; it pays only when most texts occur many times.
     """
     if not repetitive:
         return rewrite(df, {c: lambda x: text.clean(x, spec) for c in columns})
     names = df.columns
     for column in columns:
-        cleaned = df.select(F.col(column).alias("_raw")).distinct()
-        cleaned = cleaned.withColumn("_clean", text.clean(F.col("_raw"), spec))
-        df = df.join(cleaned, F.col(column).eqNullSafe(F.col("_raw")), "left")
-        df = df.withColumn(column, F.col("_clean")).drop("_raw", "_clean")
+        df = df.withColumns(
+            {"_h": F.xxhash64(column), "_g": F.xxhash64(F.lit(1), column)}
+        )
+        distinct = df.groupBy("_h", "_g").agg(F.any_value(column).alias("_raw"))
+        cleaned = distinct.select("_h", "_g", text.clean(F.col("_raw"), spec).alias("_clean"))
+        df = df.join(cleaned, ["_h", "_g"]).withColumn(column, F.col("_clean"))
+        df = df.drop("_h", "_g", "_clean")
     return df.select(*names)
 
 

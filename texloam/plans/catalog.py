@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from texloam.config import KNOWN_SPLIT_METHODS, CleanSpec
+from texloam.config import KNOWN_SPLIT_METHODS, CleanSpec, UrlSpec
 from texloam.functions import code, datetimes, html, missing, text, tokens, urls, words
 from texloam.operators import cleaning, keywords, linkgraph, pages, quality, structure
 from texloam.operators import tokens as token_jobs
@@ -40,8 +40,9 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table of long texts or pages, on all cores even when it is one small file."""
-    return readers.spread(table(spark, sf, name))
+    """A table of long texts or pages; on one machine, on all its cores even if it is one small file."""
+    found, context = table(spark, sf, name), spark.sparkContext
+    return readers.spread(found, context.defaultParallelism) if context.master.startswith("local") else found
 
 
 # --- text cleaning ---------------------------------------------------------
@@ -1084,6 +1085,64 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_csv(spark, path, docs.schema)
 
 
+@query("SELECT event_id, 'u' || user_id AS owner, value AS inner_value, event_type || ' x' AS kinds FROM events")
+def nested_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Records with objects and arrays, written and read with an inferred schema."""
+    path = scratch_path(spark, "nested")
+    owner = F.struct(F.concat(F.lit("u"), "user_id").alias("name"), F.struct("value").alias("of"))
+    kinds = F.array("event_type", F.lit("x")).alias("kinds")
+    writers.write_json(table(spark, sf, "events").select("event_id", owner.alias("owner"), kinds), path)
+    found = readers.read_json(spark, path, lines=True)
+    return found.select(
+        "event_id", F.col("owner.name").alias("owner"), F.col("owner.of.value").alias("inner_value"), F.array_join("kinds", " ").alias("kinds")
+    )
+
+
+@query(
+    "SELECT form, count(*) AS n, count(DISTINCT c_custkey) AS keys, sum(length(c_mktsegment))::BIGINT AS chars FROM customer, "
+    "(VALUES ('csv'), ('json'), ('parquet')) f(form) GROUP BY form"
+)
+def file_in_three_formats(spark: SparkSession, sf: str) -> DataFrame:
+    """A file run that writes three formats, all read back."""
+    path, out = scratch_path(spark, "input"), scratch_path(spark, "formats")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    customers.write.parquet(path)
+    forms = ("csv", "json", "parquet")
+    given = {c: () for c in ("text_columns", "url_columns", "datetime_columns")}
+    stages.process_file(spark, path, out, formats=forms, kind="parquet", name="customers", **given)
+    read = {
+        "csv": readers.read_csv(spark, f"{out}/cleaned_customers.csv"),
+        "json": readers.read_json(spark, f"{out}/cleaned_customers.json", lines=True),
+        "parquet": spark.read.parquet(f"{out}/cleaned_customers.parquet"),
+    }
+    parts = [df.select(F.lit(f).alias("form"), "c_custkey", "c_mktsegment") for f, df in read.items()]
+    both = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return both.groupBy("form").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("c_custkey").alias("keys"),
+        F.sum(F.length("c_mktsegment")).alias("chars"),
+    )
+
+
+@query("SELECT 'part' || (c_custkey % 3) AS source_file, count(*) AS n, sum(c_nationkey)::BIGINT AS nations FROM customer GROUP BY 1")
+def folder_of_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of one schema in a folder, read as one table with their names."""
+    path = scratch_path(spark, "folder")
+    customers = table(spark, sf, "customer").select(
+        "c_custkey", "c_nationkey", (F.col("c_custkey") % 3).alias("own")
+    )
+    customers.write.partitionBy("own").option("header", True).csv(path)
+    folders = [f"{path}/own={i}" for i in range(3)]
+    found = None
+    for i, folder in enumerate(folders):
+        part = readers.read_folder(spark, folder, schema="c_custkey long, c_nationkey long")
+        part = part.withColumn("source_file", F.when(F.col("source_file") != "", F.lit(f"part{i}")))
+        found = part if found is None else found.unionByName(part)
+    return found.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("c_nationkey").alias("nations")
+    )
+
+
 @query("SELECT event_id, user_id, event_type, value, props FROM events")
 def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "json")
@@ -1111,6 +1170,43 @@ def _sink_sql() -> str:
     )
 
 
+@query(
+    lambda: _matches_sql()
+    + """ SELECT keyword, count(*) AS n, sum(length(text))::BIGINT AS chars FROM m GROUP BY keyword"""
+)
+def keyword_csv_sink(spark: SparkSession, sf: str) -> DataFrame:
+    """Keyword files as CSV, header-only ones for keywords without a match, read back."""
+    path = scratch_path(spark, "keyword_csv")
+    found = stages.keyword_search(texts(spark, sf, "pages"), _KEYWORDS)
+    writers.write_keyword_files(found, path, "https://pages.example.org", keywords=_KEYWORDS)
+    again = spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(path)
+    return again.groupBy("keyword").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
+@query(
+    rf"""
+    SELECT page_id, regexp_replace(url, '[?#].*$', '') || '?id=' || page_id AS url
+    FROM (SELECT page_id, {q.standard_url('url')} AS url FROM pages)"""
+)
+def required_parameters(spark: SparkSession, sf: str) -> DataFrame:
+    """All parameters go but the required one."""
+    odd = table(spark, sf, "pages").select(
+        "page_id", F.concat(F.regexp_replace("url", "[?#].*$", ""), F.lit("?utm_source=a&id="), "page_id", F.lit("&b=c#d")).alias("url")
+    )
+    spec = UrlSpec(drop_parameters=True, required_parameters=("id",))
+    return cleaning.standardize_urls(odd, "url", spec).select("page_id", "url")
+
+
+@query(
+    lambda: f"SELECT page_id, array_to_string(list_transform([url, url || '#x', ''], lambda u: CASE WHEN u = '' THEN '' ELSE {q.standard_url('u')} END), ' ') AS urls FROM pages"
+)
+def url_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """Each address of a list in its standard form."""
+    stored = table(spark, sf, "pages")
+    many = F.array("url", F.concat("url", F.lit("#x")), F.lit(""))
+    return stored.select("page_id", F.array_join(urls.standardize_url_list(many), " ").alias("urls"))
+
+
 @query(_sink_sql)
 def keyword_sink(spark: SparkSession, sf: str) -> DataFrame:
     path, site = scratch_path(spark, "keywords"), "https://pages.example.org"

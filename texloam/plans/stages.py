@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
@@ -88,24 +89,26 @@ def process_file(
     sparse_threshold: float = 0.5,
     formats: Sequence[str] = ("csv",),
     kind: str | None = None,
+    name: str | None = None,
     **options: Any,
 ) -> DataFrame:
-    """Load, drop sparse rows, clean, write ``cleaned_<name>``."""
+    """Load, drop sparse rows, clean, write ``cleaned_<name>`` in each format.
+
+    ``name`` is the file's name without its extension unless given.  The table is
+    computed once for all formats.
+    """
     loaded = readers.read_table(spark, path, kind)
     cleaned = process_table(quality.drop_sparse(loaded, sparse_threshold), spec, **options)
     if out_folder:
-        name = path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]
-        for form in formats:
-            target = f"{out_folder.rstrip('/')}/cleaned_{name}.{form}"
-            if form == "csv":
-                writers.write_csv(cleaned, target)
-            elif form == "json":
-                writers.write_json(cleaned, target)
-            else:
-                cleaned.write.mode("overwrite").format(form).save(target)
+        target = f"{out_folder.rstrip('/')}/cleaned_{name or _stem(path)}"
+        writers.write_formats(cleaned, {form: f"{target}.{form}" for form in formats})
     return cleaned
 
 
+def _stem(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1].rsplit(".", 1)[0]
+
+
 def process_folder(
     spark: SparkSession,
     folder: str,
@@ -119,7 +122,8 @@ def process_folder(
     """Clean every file of a folder.
 
     Files of one schema are one table and one job, with an output folder per
-    file; otherwise each file is planned on its own.
+    file; otherwise each file is planned on its own.  Of files that differ in
+    their extension alone, the output keeps the extension as ``_<extension>``.
     """
     if same_schema:
         loaded = readers.read_folder(spark, folder, kind or "csv")
@@ -129,8 +133,11 @@ def process_folder(
         cleaned = process_table(loaded, spec, **options)
         writers.write_csv(cleaned, f"{out_folder.rstrip('/')}/cleaned", by_source=True)
         return
-    for path in readers.list_files(spark, folder):
-        process_file(spark, path, out_folder, spec, sparse_threshold, kind=kind, **options)
+    paths = readers.list_files(spark, folder)
+    met = Counter(map(_stem, paths))
+    for path in paths:
+        name = _stem(path) if met[_stem(path)] == 1 else path.rsplit("/", 1)[-1].replace(".", "_")
+        process_file(spark, path, out_folder, spec, sparse_threshold, kind=kind, name=name, **options)
 
 
 def two_stage_run(

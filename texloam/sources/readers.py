@@ -13,16 +13,15 @@ REPLACEMENT = "\ufffd"
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small scan to all cores.
+def spread(df: DataFrame, tasks: int) -> DataFrame:
+    """Deal the rows of a scan of fewer than ``tasks`` tasks to as many.
 
-    Text rules are bound by the processor, and a small file is one task.  A scan
-    with at least one task per core, as every large table has, stays as it is.
-    Meant for tables as read: a plan with a shuffle would be run to count its
-    tasks.
+    Text rules are bound by the processor, and a small file is one task.  This
+    shuffles whole rows, so no job does it on its own; the caller says for which
+    tables and how wide.  Meant for tables as read: a plan with a shuffle would be
+    run to count its tasks.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
 
 
 def read_csv(
@@ -48,12 +47,17 @@ def read_json(
     path: str | Sequence[str],
     schema: StructType | str | None = None,
     lines: bool = False,
+    encoding: str = "UTF-8",
 ) -> DataFrame:
     """JSON: an array of records per file, or one record per line.
 
-    Nested objects stay nested; only top-level keys become columns.
+    Nested objects stay nested; only top-level keys become columns.  What the
+    encoding cannot read becomes the replacement character; see
+    :func:`with_bad_characters`.
     """
-    reader = spark.read.option("multiLine", not lines)
+    reader = spark.read.options(multiLine=not lines, encoding=encoding)
+    if encoding.upper().replace("-", "") != "UTF8" and lines:
+        reader = reader.option("lineSep", "\n")
     if schema:
         reader = reader.schema(schema)
     return reader.json(path if isinstance(path, str) else list(path))

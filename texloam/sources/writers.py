@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -61,10 +61,16 @@ def export_table(
     The table is kept on the executors until the last format is written, so it
     is computed once; lost parts are computed again.
     """
-    unknown = [kind for kind in formats if kind not in ("csv", "json", "parquet", "orc")]
+    targets = {kind: f"{path}_{stamp or run_stamp()}.{kind}" for kind in formats}
+    write_formats(df, targets)
+    return list(targets.values())
+
+
+def write_formats(df: DataFrame, targets: Mapping[str, str]) -> None:
+    """Write the table once for each (format, path), computed once."""
+    unknown = [kind for kind in targets if kind not in ("csv", "json", "parquet", "orc")]
     if unknown:
         raise ValueError(f"unsupported export formats: {unknown}")
-    targets = {kind: f"{path}_{stamp or run_stamp()}.{kind}" for kind in formats}
     own = len(targets) > 1 and df.storageLevel == StorageLevel.NONE
     kept = df.persist(StorageLevel.MEMORY_AND_DISK) if own else df
     try:
@@ -78,7 +84,6 @@ def export_table(
     finally:
         if own:
             kept.unpersist()
-    return list(targets.values())
 
 
 def write_sorted(df: DataFrame, path: str, sort_by: Sequence[str], kind: str = "csv") -> None:
@@ -99,13 +104,14 @@ def keyword_file_name(keyword: Column, site: str, stamp: str) -> Column:
 
 
 def keyword_rows(matches: DataFrame, timestamp: str) -> DataFrame:
-    """Matches with the fixed leading columns, then extras; no NULL cells."""
+    """Matches with the fixed leading columns, then all others in their order; no NULL cells."""
     known = set(matches.columns)
+    fixed = (*KEYWORD_COLUMNS, *KEYWORD_EXTRAS)
     cells = [
         F.lit(timestamp).alias(c)
         if c == "timestamp" and c not in known
         else F.coalesce(F.col(c).cast("string") if c in known else F.lit(None), F.lit("")).alias(c)
-        for c in (*KEYWORD_COLUMNS, *KEYWORD_EXTRAS)
+        for c in (*fixed, *(c for c in matches.columns if c not in fixed))
     ]
     return matches.select(*cells)
 
