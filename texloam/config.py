@@ -65,6 +65,8 @@ class CleanSpec:
     url: UrlSpec = field(default_factory=UrlSpec)
     datetime_format: str = DATETIME_FORMAT
     datetime_threshold: float = 0.8
+    #: Own patterns of dates in running text, with the date as first group.
+    datetime_patterns: tuple[str, ...] | None = None
     clean_code: bool = False
     clean_code_if_found: bool = False
     #: Map English plurals by their ending. Endings alone also hit words like "series",

@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime
 import re
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -177,20 +179,42 @@ def _free_date(hit: Column, out_format: str, this_year: int) -> Column:
 
 
 def free_dates(
-    text: Column, strftime: str = DATETIME_FORMAT, this_year: int | None = None
+    text: Column,
+    strftime: str = DATETIME_FORMAT,
+    this_year: int | None = None,
+    patterns: Sequence[str] | None = None,
 ) -> Column:
-    """Dates in the free forms, month first unless above 12, in the output format."""
+    """Dates in the free forms, month first unless above 12, in the output format.
+
+    Own ``patterns`` take the place of the free forms, one after the other; the
+    date is their first group, and their whole match becomes the printed date, or
+    the group as it is if that is no date.
+    """
     _, out, _ = spark_formats(strftime)
     year = this_year or datetime.date.today().year
-    return replace_each(text, FREE_DATE, lambda hit: _free_date(hit, out, year))
+    if patterns is None:
+        return replace_each(text, FREE_DATE, lambda hit: _free_date(hit, out, year))
+
+    def own(pattern: str) -> Callable[[Column], Column]:
+        return lambda hit: F.when(
+            hit.isNotNull(),
+            bind(F.regexp_extract(hit, pattern, 1), lambda date: F.coalesce(_free_date(date, out, year), date)),
+        )
+
+    for pattern in patterns:
+        text = replace_each(text, pattern, own(pattern))
+    return text
 
 
 def dates_in_text(
-    text: Column, strftime: str = DATETIME_FORMAT, this_year: int | None = None
+    text: Column,
+    strftime: str = DATETIME_FORMAT,
+    this_year: int | None = None,
+    patterns: Sequence[str] | None = None,
 ) -> Column:
     """All date rules over running text, one after the other.
 
     Texts without a digit skip them.
     """
-    chain = free_dates(compact_dates(month_years(full_dates(text))), strftime, this_year)
+    chain = free_dates(compact_dates(month_years(full_dates(text))), strftime, this_year, patterns)
     return F.when(text.rlike("[0-9]"), chain).otherwise(text)

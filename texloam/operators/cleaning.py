@@ -106,10 +106,11 @@ def standardize_datetimes(
     text_columns: Sequence[str] = (),
     strftime: str = DATETIME_FORMAT,
     this_year: int | None = None,
+    patterns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Standardize datetime columns and the dates inside text columns."""
+    """Standardize datetime columns and the dates inside text columns, by own patterns if given."""
     rules = {c: lambda x: datetimes.standardize_datetime(x, strftime) for c in columns}
-    rules |= {c: lambda x: datetimes.dates_in_text(x, strftime, this_year) for c in text_columns}
+    rules |= {c: lambda x: datetimes.dates_in_text(x, strftime, this_year, patterns) for c in text_columns}
     return rewrite(df, rules)
 
 

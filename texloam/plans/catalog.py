@@ -1085,6 +1085,19 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_csv(spark, path, docs.schema)
 
 
+@query(
+    "SELECT o_orderkey, 'placed <' || strftime(o_orderdate, '%Y/%m/%d') || '> or [soon]' AS t FROM orders"
+)
+def dates_by_own_patterns(spark: SparkSession, sf: str) -> DataFrame:
+    """Dates in running text found by own patterns, one of which finds no date."""
+    stamp = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", F.concat(F.lit("placed <on "), stamp, F.lit("> or [at soon]")).alias("t")
+    )
+    patterns = (r"on ([0-9-]+T[0-9:]+)", r"at ([a-z]+)")
+    return cleaning.standardize_datetimes(orders, text_columns=["t"], strftime="%Y/%m/%d", patterns=patterns)
+
+
 @query("SELECT event_id, 'u' || user_id AS owner, value AS inner_value, event_type || ' x' AS kinds FROM events")
 def nested_json(spark: SparkSession, sf: str) -> DataFrame:
     """Records with objects and arrays, written and read with an inferred schema."""

@@ -73,7 +73,7 @@ def process_table(
     rules |= {c: lambda v: datetimes.standardize_datetime(v, spec.datetime_format) for c in dates}
 
     def with_dates(value: Column, rule: Callable[[Column], Column]) -> Column:
-        return datetimes.dates_in_text(rule(value), spec.datetime_format)
+        return datetimes.dates_in_text(rule(value), spec.datetime_format, patterns=spec.datetime_patterns)
 
     for c in date_text_columns:
         before = rules.get(c, lambda v: v)
