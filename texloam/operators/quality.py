@@ -157,14 +157,20 @@ def dedup_rows(
     """One row per key: the first in ``order_by``, or any row without an order.
 
     Copies are already reduced inside each input partition, so a key that holds
-    a large share of the table sends one row per task, not all of them.
+    a large share of the table sends one row per task, not all of them.  Text
+    keys are grouped and sorted by two hashes of 64 bits, not by the texts.
     """
+    texts = [c for c, kind in df.dtypes if c in keys and kind == "string"]
+    hashes = {
+        f"_{c}_{seed}": F.xxhash64(F.lit(seed), c, F.isnull(c)) for c in texts for seed in (1, 2)
+    }
+    short = [*hashes, *(c for c in keys if c not in texts)]
+    keyed = df.withColumns(hashes)
     if not order_by:
-        return df.dropDuplicates(list(keys))
-    rest = [c for c in df.columns if c not in keys]
+        return keyed.dropDuplicates(short).select(*df.columns)
     order = F.struct(*[F.col(o) if isinstance(o, str) else o for o in order_by])
-    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order).alias("_first"))
-    return first.select(*[F.col(f"_first.{c}").alias(c) if c in rest else F.col(c) for c in df.columns])
+    first = keyed.groupBy(*short).agg(F.min_by(F.struct(*df.columns), order).alias("_first"))
+    return first.select("_first.*")
 
 
 def sample_rows(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
