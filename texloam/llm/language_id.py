@@ -117,10 +117,11 @@ def fit(
     counts = counts.orderBy(F.desc("count"), "lang").limit(languages).collect()
     if not counts:
         return Profiles((), np.zeros((0, dimensions), np.float32))
-    share = F.lit(0)
+    share = F  # one flat CASE over the languages
     for row in counts:
         limit = min(_SCALE, int(per_language / row["count"] * _SCALE))
-        share = F.when(F.col(lang_col) == row["lang"], F.lit(limit)).otherwise(share)
+        share = share.when(F.col(lang_col) == row["lang"], F.lit(limit))
+    share = share.otherwise(F.lit(0))
     sample = learned.filter(F.pmod(F.xxhash64(id_col), F.lit(_SCALE)) < share)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

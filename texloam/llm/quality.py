@@ -25,7 +25,7 @@ BUCKET_BITS = 18
 DIMENSIONS = 16
 GRAMS = (3, 4)
 #: Bounds of the fit: labelled rows of each label, and code points of a training text.
-ROWS_PER_LABEL, TRAINING_CHARS = 1500, 20_000
+ROWS_PER_LABEL, TRAINING_CHARS = 1000, 10_000
 EPOCHS, RATE, SEED = 6, 0.5, 6
 THRESHOLD = 0.3
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -122,7 +122,8 @@ def fit(
     """A model from at most ``rows_per_label`` rows of each label outside the held-out fold.
 
     Rows are taken in the order of a hash of their id.  Rows without label or
-    text, and texts above ``training_chars``, are not learned from.
+    text, and texts above ``training_chars``, are not learned from.  The driver
+    receives the buckets and counts of the sample, below 400 MB at the defaults.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.filter((fold("id") != 0) & F.col("label").isin(0, 1)).distinct()
