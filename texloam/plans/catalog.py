@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from texloam.config import KNOWN_SPLIT_METHODS, CleanSpec, UrlSpec
-from texloam.functions import code, datetimes, html, missing, text, tokens, urls, words
+from texloam.functions import code, html, missing, text, tokens, urls, words
 from texloam.operators import cleaning, keywords, linkgraph, pages, quality, structure
 from texloam.operators import tokens as token_jobs
 from texloam.plans import oracle_parts as q
