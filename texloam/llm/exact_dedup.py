@@ -83,8 +83,12 @@ def exact_dedup(
         "id", "carried", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")
     )
     met = hashed.filter("full is not null")
-    groups = met.groupBy("length", "full").agg(
-        F.max("id").alias("keep_id"), F.count("*").alias("group_size")
+    # Written, so that both sides of the join are plain shuffles and a group that holds
+    # a large share of the rows can be split.
+    groups = durable(
+        met.groupBy("length", "full").agg(
+            F.max("id").alias("keep_id"), F.count("*").alias("group_size")
+        )
     )
     grouped = met.join(groups, ["length", "full"]).select("id", "carried", "keep_id", "group_size")
     return alone.unionByName(grouped).select(
