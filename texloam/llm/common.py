@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from texloam.session import ensure_checkpoint_dir
 
 #: Code points that a task takes up at a time; a longer text is taken up alone.
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 500_000
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

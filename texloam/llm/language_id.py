@@ -26,6 +26,7 @@ from texloam.llm.common import chunks, fold, runs, table
 
 DIMENSIONS = 1024
 SEED = 20
+TEXTS_AT_ONCE = 1024
 #: Bounds of the fit: expected texts per language, and the most frequent languages learned.
 TEXTS_PER_LANGUAGE, LANGUAGES = 2000, 500
 UNKNOWN = "und"
@@ -52,6 +53,9 @@ def _letter(point: int, dimensions: int) -> np.ndarray:
 
 def bundles(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
     """One row per text: the sum of its trigram vectors, zero if it has no letters."""
+    if len(texts) > TEXTS_AT_ONCE:  # many short texts would need a wide table of counts
+        parts = range(0, len(texts), TEXTS_AT_ONCE)
+        return np.concatenate([bundles(texts[i : i + TEXTS_AT_ONCE], dimensions) for i in parts])
     lengths = np.fromiter((len(t) + 2 for t in texts), np.int64, len(texts))
     points = np.frombuffer("".join(f" {t} " for t in texts).encode("utf-32-le"), np.uint32)
     letters = _lower_letters()[points]
