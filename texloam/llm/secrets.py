@@ -5,7 +5,8 @@ window over each.  The window's Shannon entropy follows from counts of its
 characters that are kept up to date: a step adds the entering character and
 takes out the leaving one.  The counts of a class are packed into a few longs,
 five bits for each character, so a step costs the same whatever the class.
-Sums are whole millionths, hence exact.  What an allow list knows is suppressed.
+Sums are whole millionths, hence exact.  Windows that overlap a hit of the allow
+list are suppressed.
 
 All of it is one projection of built-in functions beside the scan.
 """
@@ -32,7 +33,7 @@ ASSIGN_VALUE, ACCESS_LENGTH = 6, 20
 
 WINDOW = 20
 MASK = "[SECRET]"
-#: Well-known harmless strings; a candidate that contains one is no secret.
+#: Well-known harmless strings; a window that overlaps one is no secret.
 ALLOWED = (
     "(?i)example|sample|dummy|placeholder|changeme|lorem|test_?key|xxxxxx|"
     "0123456789|9876543210|abcdefghij|deadbeef|(.)\\1{5}"
@@ -68,6 +69,7 @@ CLASSES = (
         ("[a-z]", "[A-Z]", "[0-9]"),
         3.7,
     ),
+    CharacterClass("entropy_lower", string.digits + string.ascii_lowercase, ("[a-z]", "[0-9]"), 3.5),
 )
 KINDS = ("assign", "access", "hex", *(c.kind for c in CLASSES))
 
@@ -143,6 +145,16 @@ def hot_range(value: Column, of: CharacterClass) -> Column:
     return bind(found, lambda f: F.when(f["first"].isNotNull(), F.struct(f["first"].alias("first"), f["last"].alias("last"))))
 
 
+def _unlisted(run: Column) -> Column:
+    """array<struct<start, value>> of the parts of a run that the allow list leaves, of a window at least."""
+    ends = F.transform(match_spans(run, ALLOWED), lambda m: m["end"])
+    starts = F.concat(F.array(F.lit(0).cast("long")), ends)
+    parts = F.zip_with(
+        starts, F.split(run, ALLOWED, -1), lambda at, part: F.struct(at.alias("start"), part.alias("value"))
+    )
+    return F.filter(parts, lambda p: F.length(p["value"]) >= WINDOW)
+
+
 def _spans(text: Column) -> list[Column]:
     """For each kind, array<struct<start, rank, end, kind>>."""
 
@@ -155,9 +167,17 @@ def _spans(text: Column) -> list[Column]:
         )
 
     def hot(of: CharacterClass) -> Column:
-        candidates = F.filter(match_spans(text, of.pattern), lambda m: ~m["value"].rlike(ALLOWED))
+        parts = F.flatten(
+            F.transform(
+                match_spans(text, of.pattern),
+                lambda m: F.transform(
+                    _unlisted(m["value"]),
+                    lambda p: F.struct((m["start"] + p["start"]).alias("start"), p["value"].alias("value")),
+                ),
+            )
+        )
         scanned = F.transform(
-            candidates, lambda m: F.struct(m["start"].alias("start"), hot_range(m["value"], of).alias("hot"))
+            parts, lambda p: F.struct(p["start"].alias("start"), hot_range(p["value"], of).alias("hot"))
         )
         return F.filter(scanned, lambda m: m["hot"].isNotNull())
 
@@ -204,15 +224,14 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
         return F.when(text.rlike(ASSIGN), replace_each(text, ASSIGN, rewrite)).otherwise(text)
 
     def entropy(of: CharacterClass):
-        return lambda hit: ~hit.rlike(ALLOWED) & hot_range(hit, of).isNotNull()
+        return lambda hit: F.exists(_unlisted(hit), lambda p: hot_range(p["value"], of).isNotNull())
 
     steps = [assignment, masked(ACCESS, lambda hit: F.length(hit) >= ACCESS_LENGTH), masked(HEX, lambda hit: hit.isNotNull())]
     for of in CLASSES:
         steps.append(masked(of.pattern, entropy(of)))
-    text = F.col(text_col)
-    for step in steps:
-        text = bind(text, step)
-    return docs.withColumn(text_col, text)
+    for step in steps:  # one projection each: all in one are too deep for the analyzer
+        docs = docs.withColumn(text_col, bind(F.col(text_col), step))
+    return docs
 
 
 def _listed(spans: Column) -> Column:
