@@ -1,6 +1,7 @@
 """Licences: phrases in place, and an exact set-similarity join with templates.
 
-A template is a set of words and a text block a line or a paragraph.  A block
+A template is a set of words and a text block a line, the seam of neighbouring
+lines, or a paragraph.  A block
 meets a template if it has at least ``CONTAINED`` of its words.  Words are
 ordered by how many documents of the corpus have them, rarest first; a block
 that meets a template must share one of the template's first words (its prefix),
@@ -21,6 +22,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from texloam.functions.core import bind
 from texloam.llm.common import ascii_lower, table, whole
 
 #: The words of a text, and the phrases with their labels.
@@ -72,6 +74,8 @@ TEMPLATES = {
         "option) any later version",
     ),
 }
+#: Blank-separated words on each side of a line break, and the length of a line between two.
+SEAM_WORDS, SHORT_LINE = 20, 100
 _BLANK_LINES = r"\n[ \t\r]*\n"
 
 
@@ -80,6 +84,29 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
+def _line_blocks(text: Column) -> Column:
+    """Lines, and what meets at each line break, so that a wrapped notice is in one block.
+
+    A seam is the end of a line and the start of the next, or of the next two if
+    the one between is short; it has a bounded number of words, so that words far
+    apart do not meet.
+    """
+
+    def seams(lines: Column) -> Column:
+        def seam(line: Column, i: Column) -> Column:
+            after, last = F.get(lines, i + 1), F.get(lines, i + 2)
+            return F.concat_ws(
+                "\n",
+                F.substring_index(line, " ", -SEAM_WORDS),
+                F.substring_index(after, " ", SEAM_WORDS),
+                F.when(F.length(after) <= SHORT_LINE, F.substring_index(last, " ", SEAM_WORDS)),
+            )
+
+        return F.concat(lines, F.transform(F.slice(lines, 1, F.size(lines) - 1), seam))
+
+    return bind(F.split(text, "\n", -1), seams)
+
+
 def _template_words() -> dict[str, frozenset[str]]:
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     return {label: frozenset(re.findall(WORD, text.translate(lower))) for label, (_, text) in TEMPLATES.items()}
@@ -137,7 +164,7 @@ def template_matches(
             F.array_sort(F.transform(F.array_distinct(words), lambda w: F.element_at(ranks, w))).alias("ranks"),
         )
 
-    blocks = kept(LINE, F.split("text", "\n", -1)).unionByName(kept(PARAGRAPH, F.split("text", _BLANK_LINES, -1)))
+    blocks = kept(LINE, _line_blocks(F.col("text"))).unionByName(kept(PARAGRAPH, F.split("text", _BLANK_LINES, -1)))
     opened = blocks.select("id", "whole", "kind", "ranks", F.posexplode("ranks").alias("place", "rank"))
     after = F.size("ranks") - F.col("place") - 1
     met = opened.join(F.broadcast(index), ["kind", "rank"]).filter(
