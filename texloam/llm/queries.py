@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from texloam.llm import bpe, exact_dedup, language_id, licenses, line_dedup, order_minhash, packing, quality, secrets, simhash_trie
+from texloam.llm import (
+    bpe,
+    exact_dedup,
+    language_id,
+    licenses,
+    line_dedup,
+    merkle,
+    order_minhash,
+    packing,
+    quality,
+    secrets,
+    simhash_trie,
+)
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.query,
@@ -15,9 +27,11 @@ QUERIES = {
     "op8_language_id": language_id.query,
     "op9_simhash_trie": simhash_trie.query,
     "op10_best_fit_packing": packing.query,
+    "op12_merkle_manifest": merkle.query,
 }
 
 ORACLES = {
     "op1_exact_dedup": exact_dedup.SQL,
     "op3_line_dedup": line_dedup.SQL,
+    "op12_merkle_manifest": merkle.SQL,
 }
