@@ -13,6 +13,7 @@ from texloam.llm import (
     packing,
     quality,
     secrets,
+    sharding,
     simhash_trie,
 )
 
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_simhash_trie": simhash_trie.query,
     "op10_best_fit_packing": packing.query,
     "op12_merkle_manifest": merkle.query,
+    "op13_kd_sharding": sharding.query,
 }
 
 ORACLES = {
