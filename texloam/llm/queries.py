@@ -15,6 +15,7 @@ from texloam.llm import (
     secrets,
     sharding,
     simhash_trie,
+    whitening,
 )
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_language_id": language_id.query,
     "op9_simhash_trie": simhash_trie.query,
     "op10_best_fit_packing": packing.query,
+    "op11_embedding_whitening": whitening.query,
     "op12_merkle_manifest": merkle.query,
     "op13_kd_sharding": sharding.query,
 }
