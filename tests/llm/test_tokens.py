@@ -111,8 +111,9 @@ def test_plan_is_best_fit(seed):
 
 def test_pieces_and_sequences(spark, docs, odd, odd_rows, none):
     hf = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    hf.encode_special_tokens = True
     frame = docs.select("doc_id", "text").unionByName(odd.filter("doc_id > 6 and doc_id != 10").selectExpr("doc_id + 1000 as doc_id", "text"))
+    special = [(2001, "a <|endoftext|>b<|endoftext|><|endoftext|> \n"), (2002, "<|endoftext|>"), (2003, "<|endoftext"), (2004, "x \n" + " \t" * 400 + "y's")]
+    frame = frame.unionByName(spark.createDataFrame(special, "doc_id long, text string"))
     pieces = packing.token_pieces(frame, SMALL)
     packed = packing.pack(pieces, ["doc_id", "piece"]).collect()
     sequences, parts = check_packing(packed, 2048)
@@ -135,6 +136,22 @@ def test_pieces_and_sequences(spark, docs, odd, odd_rows, none):
     assert sum(len(r.ids) for r in whole) == total
 
 
+def test_long_blank_runs_give_the_same_ids():
+    hf = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    own = packing.TextEncoder(SMALL)
+    text = "a<|endoftext|> b's" + " \n" * 60_000 + "<|endoftext|>" + "\t" * 130_000 + "end "
+    expected = hf.encode(text, add_special_tokens=False).ids
+    assert own.encode(text) == expected and own.special in expected
+    assert len(own.encode("x" + " \n" * 600_000 + "y")) > 10
+
+
+def test_ids_equal_the_contract_call():
+    hf, own, rng = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.TextEncoder(SMALL), random.Random(8)
+    for _ in range(3000):
+        text = "".join(rng.choices([*PIECES, "<|endoftext|>", "the", " of"], k=rng.randint(0, 40)))
+        assert own.encode(text) == hf.encode(text, add_special_tokens=False).ids, text
+
+
 def test_packing_of_odd_rows(odd, odd_rows, none):
     got = packing.pack_documents(odd, SMALL).collect()
     check_packing(got, 2048)
@@ -144,5 +161,6 @@ def test_packing_of_odd_rows(odd, odd_rows, none):
 
 def test_a_length_that_all_share_is_ranked_in_many_groups(spark):
     frame = spark.range(5000).selectExpr("id as doc_id", "0 as piece", "0L as start", "30L as length")
-    got = packing.pack(frame, ["doc_id", "piece"]).collect()
-    assert check_packing(got, 2048)[0] == -(-5000 // (2048 // 30))
+    for rows in (8192, 100):
+        got = packing.pack(frame, ["doc_id", "piece"], group_rows=rows).collect()
+        assert check_packing(got, 2048)[0] == -(-5000 // (2048 // 30))

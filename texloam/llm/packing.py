@@ -5,18 +5,20 @@ length (at most as many counts as a sequence has tokens), packs counts by best
 fit, longest first, and writes down which slots each length gets.  Pieces then
 take their slots by joining on their rank within their length.  Ranks are
 counted in salted groups whose sizes are summed first, so a length that a third
-of all pieces share is ranked by many tasks.
+of all pieces share is ranked by many tasks, the more the more pieces there are.
 """
 
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +28,12 @@ from texloam.llm import bpe
 from texloam.llm.common import chunks, durable, table
 
 CAPACITY = 2048
-SALTS = 128
+#: Pieces of one length that are ranked together, about.
+GROUP_ROWS = 8192
+#: Text of the id that the vocabulary adds to the ranks.
+SPECIAL = "<|endoftext|>"
+#: The installed library gives up on runs of blanks some ten times as long.
+LONG_BLANK = 100_000
 
 
 def plan_slots(histogram: Mapping[int, int], capacity: int) -> dict[int, list[tuple[int, ...]]]:
@@ -76,7 +83,7 @@ def plan_slots(histogram: Mapping[int, int], capacity: int) -> dict[int, list[tu
     return slots
 
 
-def pack(pieces: DataFrame, key: list[str], capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
+def pack(pieces: DataFrame, key: list[str], capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``pieces`` with sequence_id and offset added.
 
     ``pieces`` has a column ``length`` from 1 to ``capacity`` and is read three
@@ -86,14 +93,17 @@ def pack(pieces: DataFrame, key: list[str], capacity: int = CAPACITY, salts: int
     the tasks as one row per length.  An empty table gives no rows.
     """
     spark = pieces.sparkSession
-    counted = pieces.select(
-        F.struct("*").alias("row"),
-        F.col("length").cast("int").alias("of"),
-        F.pmod(F.xxhash64(*key), F.lit(salts)).alias("salt"),
-    )
-    groups = durable(counted.groupBy("of", "salt").agg(F.count("*").alias("n")))
-    histogram = {r["of"]: r["n"] for r in groups.groupBy("of").agg(F.sum("n").alias("n")).collect()}
+    rows = pieces.select(F.struct("*").alias("row"), F.col("length").cast("int").alias("of"))
+    histogram = {r["of"]: r["count"] for r in rows.groupBy("of").count().collect()}
     slots = plan_slots(histogram, capacity)
+    runs = spark.createDataFrame(
+        [(of, 1 + histogram[of] // group_rows, [list(map(int, run)) for run in found]) for of, found in slots.items()],
+        "of int, salts int, runs array<array<long>>",
+    )
+    by_length = F.broadcast(runs)
+    salt = F.pmod(F.xxhash64(*(F.col("row")[k] for k in key)), F.col("salts"))
+    counted = rows.join(by_length.select("of", "salts"), "of").select("row", "of", salt.alias("salt"))
+    groups = counted.groupBy("of", "salt").agg(F.count("*").alias("n"))
     before = groups.select(
         "of",
         "salt",
@@ -101,11 +111,7 @@ def pack(pieces: DataFrame, key: list[str], capacity: int = CAPACITY, salts: int
     )
     within = Window.partitionBy("of", "salt").orderBy(*(F.col("row")[k] for k in key))
     ranked = counted.withColumn("nth", F.row_number().over(within) - 1).join(before, ["of", "salt"])
-    runs = spark.createDataFrame(
-        [(length, [list(map(int, run)) for run in of]) for length, of in slots.items()],
-        "of int, runs array<array<long>>",
-    )
-    placed = ranked.withColumn("rank", F.col("before") + F.col("nth")).join(F.broadcast(runs), "of")
+    placed = ranked.withColumn("rank", F.col("before") + F.col("nth")).join(by_length.select("of", "runs"), "of")
     run = F.element_at(F.filter("runs", lambda r: r[0] <= F.col("rank")), -1)
     placed = placed.select("row", "of", "rank", run.alias("run"))
     nth = F.col("rank") - F.col("run")[0]
@@ -117,12 +123,36 @@ def pack(pieces: DataFrame, key: list[str], capacity: int = CAPACITY, salts: int
     )
 
 
+class TextEncoder:
+    """Ids of a text as the vocabulary's own library gives them, the special token's included."""
+
+    def __init__(self, path: str):
+        ranks = bpe.read_ranks(path)
+        self.special = max(ranks.values()) + 1
+        self.library = bpe.tiktoken.Encoding(
+            "pack",
+            pat_str=public_tokenizers.PATTERN,
+            mergeable_ranks=ranks,
+            special_tokens={SPECIAL: self.special},
+        )
+        self.own = bpe.Encoder(ranks)
+
+    def encode(self, text: str) -> list[int]:
+        """One call of the library; texts with a run of blanks that it can't take go by pre-tokens of ``bpe``."""
+        if len(text) < LONG_BLANK or not _BLANKS.search(text):
+            return self.library.encode(text, allowed_special="all")
+        ids: list[int] = []
+        for i, part in enumerate(text.split(SPECIAL)):
+            ids += [self.special] * (i > 0) + self.own.encode([part])[0].tolist()
+        return ids
+
+
+_BLANKS = re.compile(rf"\s{{{LONG_BLANK}}}")
+
+
 @functools.cache
-def _encoder(path: str) -> bpe.Encoder:
-    """Pre-tokens as in ``bpe``; what the cache lacks is encoded by the installed library."""
-    ranks = bpe.read_ranks(path)
-    library = bpe.tiktoken.Encoding("pack", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
-    return bpe.Encoder(ranks, lambda piece: tuple(library.encode_ordinary(piece)))
+def _encoder(path: str) -> TextEncoder:
+    return TextEncoder(path)
 
 
 def token_pieces(
@@ -138,7 +168,8 @@ def token_pieces(
 
     A document is its ids and then ``end_id``; null and empty texts are the end
     alone.  A longer document is cut so that only its first piece is shorter.
-    ``path`` is a rank file with the ids of the wanted vocabulary.
+    ``path`` is a rank file with the ids of the wanted vocabulary; the id after
+    the last one is ``SPECIAL``, also where it stands in a text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,10 +177,11 @@ def token_pieces(
         for batch in batches:
             keys = batch.column("id").to_pylist()
             for first, _, texts in chunks(batch, "text"):
-                ids, cuts = own.encode(texts)
                 rows = []
-                for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    tokens = np.append(ids[a:b], np.uint32(end_id)).astype("<u4")
+                for i, text in enumerate(texts):
+                    ids = own.encode(text)
+                    ids.append(end_id)
+                    tokens = np.array(ids, "<u4")
                     end, number = len(tokens), -(-len(tokens) // capacity)
                     edges = [max(0, end - (number - j) * capacity) for j in range(number + 1)]
                     for j, (x, y) in enumerate(zip(edges, edges[1:])):
@@ -187,7 +219,5 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> Data
 
 def query(spark, sf):
     """Every document packed into sequences of 2048 tokens."""
-    import public_tokenizers
-
     # The rank file has the same ids as byte_bpe_50k.json; a test compares them.
     return pack_documents(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
