@@ -34,3 +34,12 @@ def test_allowed_words_stay(spark):
     for (spans, out), text in zip(masked(spark, texts), texts):
         assert not [s for s in spans if s.rank > 2]
     assert masked(spark, texts[2:])[0][1] == texts[2]
+
+
+def test_words_with_numbers_stay(spark):
+    texts = [
+        "see internationalization2handlers there", "customerorderhistory2024report.csv", "host productiondatabase01cluster",
+        "/assets/jquery3minifiedbundle.js", "johnathan1987smithson@example.org", "q1salesforecast2024presentation",
+    ]
+    for (spans, out), text in zip(masked(spark, texts), texts):
+        assert spans == [] and out == text

@@ -40,6 +40,8 @@ ALLOWED = (
 )
 #: What stands before a digest of public content.
 DIGEST_MARK = r"(?<!sha1[:=-])(?<!sha256[:=-])(?<!sha384[:=-])(?<!sha512[:=-])(?<!md5[:=-])"
+#: What keys of lower-case letters with digits have one of, and words with numbers rarely.
+DIGIT_RUNS, CONSONANT_RUN, CONSONANTS = 3, 6, "bcdfghjklmnpqrstvwxz"
 _BITS, _PER_LONG, _UNIT = 5, 12, 1_000_000
 
 
@@ -51,12 +53,17 @@ class CharacterClass:
     alphabet: str
     needs: tuple[str, ...]
     least_bits: float
+    #: Whether a run must look random: words with a year or number do not have so many runs of digits, or of consonants so long.
+    random_only: bool = False
 
     @property
     def pattern(self) -> str:
         """Runs of at least a window that contain each needed class, tested once at the run's start."""
         own = "[" + self.alphabet.replace("-", r"\-") + "]"
         needs = "".join(f"(?=(?:(?!{n}){own})*+{n})" for n in self.needs)
+        if self.random_only:
+            runs = f"(?:(?![0-9]){own})*+(?:[0-9]++(?:(?![0-9]){own})*+){{{DIGIT_RUNS}}}"
+            needs += f"(?:(?={runs})|(?={own}*?[{CONSONANTS}]{{{CONSONANT_RUN}}}))"
         return f"(?<!{own}){DIGEST_MARK}{needs}{own}{{{WINDOW},}}+"
 
 
@@ -69,7 +76,7 @@ CLASSES = (
         ("[a-z]", "[A-Z]", "[0-9]"),
         3.7,
     ),
-    CharacterClass("entropy_lower", string.digits + string.ascii_lowercase, ("[a-z]", "[0-9]"), 3.5),
+    CharacterClass("entropy_lower", string.digits + string.ascii_lowercase, ("[a-z]", "[0-9]"), 3.5, True),
 )
 KINDS = ("assign", "access", "hex", *(c.kind for c in CLASSES))
 
