@@ -11,6 +11,10 @@ TEXTS = {
     3: ("The pictures of this book are licensed under\nCC BY 4.0 by their authors.", "creative-commons-notice"),
     4: ("This is free and unencumbered\nsoftware released into\nthe public domain.", "public-domain-notice"),
     5: ("all " + "word " * 40 + "rights\n" + "word " * 40 + "reserved", None),
+    7: ("This Source Code Form is subject\nto the terms of the\nMozilla Public License,\nv. 2.0.", "mpl-notice"),
+    8: ("\n".join("text here and this code is licensed under the BSD 3-Clause License of old".split()), "bsd-notice"),
+    9: (" ".join(["all"] + ["word"] * 999 + ["rights"] + ["word"] * 999 + ["reserved"] + ["word"] * 999), None),
+    10: ("word " * 3000 + "all rights reserved" + " word" * 3000, "rights-reserved"),
     6: ("nothing\n\nhere", None),
 }
 
