@@ -12,7 +12,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from texloam.llm import language_id, line_dedup, packing, secrets, similar_texts
+from texloam.llm import language_id, line_dedup, packing, secrets, simhash_trie
 from texloam.llm.common import durable
 from texloam.session import scratch_path
 
@@ -22,27 +22,27 @@ def _measured(docs):
 
 
 def keep_languages(spark, docs, sf_dir):
-    """Documents in a language that the others taught; texts without letters go."""
+    """Documents in a language that the others taught; texts without letters go.  If none is known, all with letters stay."""
     return language_id.keep_known(docs, language_id.fit(docs))
 
 
 def drop_shared_lines(spark, docs, sf_dir):
     """All documents, without lines that many sources share, however short; their first occurrence stays."""
-    return _measured(line_dedup.line_dedup(docs, min_chars=1).select(docs.columns))
+    return _measured(line_dedup.line_dedup(docs).select(docs.columns))
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
     """Of every group of near duplicates one row: the smallest id, then hash of the text, then row.
 
-    Texts are near duplicates if their sets of five-word shingles have a Jaccard
-    similarity of 0.8 or more, compared exactly, and so are chains of these.
+    Texts are near duplicates if their SimHash fingerprints of three-word shingles
+    differ in three bits at most, and so are chains of these.
 
     Rows are told apart by a number of their own, so null ids, repeated rows and
     one id with several texts each count as rows.  A null id is the largest.
     """
     rows = durable(docs.withColumn("row_number", F.monotonically_increasing_id()))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.xxhash64("text").alias("hash"), "row_number")
-    found = similar_texts.near_duplicates(rows.select(order.alias("key"), "text"), "key")
+    found = simhash_trie.near_duplicates(rows.select(order.alias("key"), "text"), "key")
     dropped = found.filter(F.col("key") != F.col("component_id")).select("key.row_number")
     return rows.join(dropped, "row_number", "left_anti").select(docs.columns)
 
