@@ -65,6 +65,12 @@ def test_language_of_odd_rows(spark, odd, odd_rows, docs, none):
     untaught = lang.fit(none)
     assert untaught.languages == () and lang.predict(none, untaught).count() == 0
     assert {r.lang_pred for r in lang.predict(odd, untaught).collect()} == {"und"}
+    assert lang.keep_known(odd, untaught).count() == sum(any(c.isalpha() for c in r[1] or "") for r in odd_rows)
+
+
+def test_every_language_is_learned(spark):
+    frame = spark.range(14000).selectExpr("id as doc_id", "concat('word ', id % 700) as text", "concat('l', id % 700) as lang")
+    assert len(lang.fit(frame, dimensions=16).languages) == 700
 
 
 def test_quality_of_held_out_documents(spark):

@@ -27,8 +27,8 @@ from texloam.llm.common import chunks, fold, runs, table
 DIMENSIONS = 1024
 SEED = 20
 TEXTS_AT_ONCE = 1024
-#: Bounds of the fit: expected texts per language, and the most frequent languages learned.
-TEXTS_PER_LANGUAGE, LANGUAGES = 2000, 500
+#: Bound of the fit: expected texts per language.
+TEXTS_PER_LANGUAGE = 2000
 UNKNOWN = "und"
 #: Texts below this cosine are of no known language; clean ones of a single word are above it.
 LEAST_SCORE = 0.03
@@ -108,25 +108,25 @@ def fit(
     lang_col: str = "lang",
     dimensions: int = DIMENSIONS,
     per_language: int = TEXTS_PER_LANGUAGE,
-    languages: int = LANGUAGES,
 ) -> Profiles:
-    """Prototypes from documents outside the held-out fold that have a language.
+    """Prototypes of all languages of documents outside the held-out fold.
 
     A language's texts are sampled by a hash of their id, ``per_language`` of
     them on average.  The driver receives one count per language and one vector
     per language.
     """
     learned = docs.filter(_learned(id_col) & F.col(lang_col).isNotNull())
-    counts = learned.groupBy(F.col(lang_col).alias("lang")).count()
-    counts = counts.orderBy(F.desc("count"), "lang").limit(languages).collect()
-    if not counts:
+    counts = learned.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n"))
+    names = tuple(sorted(row["lang"] for row in counts.select("lang").collect()))
+    if not names:
         return Profiles((), np.zeros((0, dimensions), np.float32))
-    share = F  # one flat CASE over the languages
-    for row in counts:
-        limit = min(_SCALE, int(per_language / row["count"] * _SCALE))
-        share = share.when(F.col(lang_col) == row["lang"], F.lit(limit))
-    share = share.otherwise(F.lit(0))
-    sample = learned.filter(F.pmod(F.xxhash64(id_col), F.lit(_SCALE)) < share)
+    rows = learned.select(
+        F.col(lang_col).alias("lang"),
+        F.col(text_col).alias("text"),
+        F.pmod(F.xxhash64(id_col), F.lit(_SCALE)).alias("place"),
+    )
+    limit = F.least(F.lit(_SCALE), F.floor(F.lit(per_language) / F.col("n") * _SCALE))
+    sample = rows.join(counts, "lang").filter(F.col("place") < limit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,14 +143,13 @@ def fit(
                         ["lang", "axis", "value"],
                     )
 
-    rows = sample.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    sums = rows.mapInArrow(run, "lang string, axis int, value double")
+    sums = sample.select("lang", "text").mapInArrow(run, "lang string, axis int, value double")
     # Rounded, so that the order of the sums does not matter.
     sums = sums.groupBy("lang", "axis").agg(F.sum(F.round(F.col("value") * 1e6).cast("long")).alias("value"))
-    names = tuple(sorted(row["lang"] for row in counts))
+    number = {name: i for i, name in enumerate(names)}
     vectors = np.zeros((len(names), dimensions), np.float64)
     for row in sums.collect():
-        vectors[names.index(row["lang"]), row["axis"]] = row["value"]
+        vectors[number[row["lang"]], row["axis"]] = row["value"]
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
     return Profiles(names, (vectors / np.where(norms > 0, norms, 1)).astype(np.float32))
 
@@ -189,7 +188,12 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
 def keep_known(
     docs: DataFrame, profiles: Profiles, least_score: float = LEAST_SCORE, text_col: str = "text"
 ) -> DataFrame:
-    """Rows of ``docs`` whose text has a language with at least ``least_score``; no row moves."""
+    """Rows of ``docs`` whose text has a language with at least ``least_score``; no row moves.
+
+    Where nothing was learned, every text with a letter stays.
+    """
+    if not profiles.languages:
+        return docs.filter(F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
     rows = docs.select(F.struct("*").alias("row"), language(F.col(text_col), profiles).alias("found"))
     rows = rows.filter((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= least_score))
     return rows.select("row.*")

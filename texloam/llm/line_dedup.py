@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from texloam.llm.common import durable, table
 
 MIN_SITES = 8
-#: Shorter lines (headings, list marks) recur by chance and stay.
-MIN_CHARS = 20
+#: Lines of blanks only are left alone.
+MIN_CHARS = 1
 SKETCH_BITS = 12
 #: Relative width of the band that is counted exactly, six standard errors of the
 #: sketch, and its least width in sites.
