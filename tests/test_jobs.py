@@ -252,13 +252,12 @@ def test_keyword_paths_agree(spark, sf):
     assert rows(constant) == rows(joined) and constant.count() > 0
 
 
-def test_keyword_table_without_broadcast_and_with_many_anchors(spark, sf, monkeypatch):
+def test_keyword_table_in_several_automata(spark, sf, monkeypatch):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
     words = docs.select(F.explode(F.split("text", " ")).alias("keyword")).filter(r"keyword rlike '^\\p{L}{7,}$'")
     table = words.distinct().orderBy("keyword").limit(60)
     expected = rows(keywords.keyword_table_matches(docs, table, ["doc_id"]).drop("text"))
-    monkeypatch.setattr(keywords, "BROADCAST_KEYWORDS", 1)
-    monkeypatch.setattr(keywords, "CONSTANT_ANCHORS", 1)
+    monkeypatch.setattr(keywords, "AUTOMATON_BYTES", 100)
     assert rows(keywords.keyword_table_matches(docs, table, ["doc_id"]).drop("text")) == expected
     names = [r.keyword for r in table.collect()]
     brute = sorted(
@@ -267,6 +266,23 @@ def test_keyword_table_without_broadcast_and_with_many_anchors(spark, sf, monkey
     assert expected == brute
 
 
+@pytest.mark.parametrize("number", (2, 200, 200_000))
+def test_any_number_of_keywords_with_null_cells_and_repeated_rows(spark, number):
+    texts = ["word1 and word77", "WORD1", "nothing", None, "", "word199999 word2 word2", "word1 and word77"]
+    data = [(i % 3 or None, t, None if i % 2 else "c") for i, t in enumerate(texts)] + [(None, "word1", None)] * 3
+    elements = spark.createDataFrame(data, "pos int, text string, context string")
+    names = [f"word{i}" for i in range(number)]
+    expected = sorted(
+        ((p, t, c, k, k) for p, t, c in data for k in names[:2000] + names[-1:] * (number > 2000) if k in (t or "").lower()), key=str
+    )
+    if number > 2000:  # those between are in no text but as beginnings of longer ones
+        expected += [(p, t, c, k, k) for p, t, c in data for k in ("word19999",) if k in (t or "").lower()]
+    got = keywords.keyword_matches(elements, names).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
+    table = spark.createDataFrame([(k,) for k in [*names, None, " "]], "keyword string")
+    assert sorted(map(tuple, keywords.keyword_table_matches(elements, table).collect()), key=str) == sorted(expected, key=str)
+
+
 def test_keyword_report_keeps_keywords_without_match(spark):
     table = spark.createDataFrame(
         [(1, "u1", "War one"), (2, "u1", "war two"), (3, "u2", "x" * 200 + " war"), (4, "u2", "WAR four")],

@@ -3,20 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from texloam.functions import automaton
 from texloam.functions.core import SPACE_RUN, strip
 
+# The automaton travels with the task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(automaton)
+_numbers = count()
+
 # Up to this many keywords are tested as constants of the plan.
 CONSTANT_KEYWORDS = 100
-# Keyword tables up to this many rows are broadcast.
-BROADCAST_KEYWORDS = 100_000
-ANCHOR_LENGTH = 4
-# Up to this many distinct anchors are tested before the texts are taken apart.
-CONSTANT_ANCHORS = 1000
+# Bytes of forms that one automaton holds; longer tables take a pass for each part.
+AUTOMATON_BYTES = 32 << 20
 SHORTEST_PART = 4
 SAMPLES = 3
 SAMPLE_LENGTH = 100
@@ -41,7 +46,7 @@ def keyword_matches(
     wanted = list(dict.fromkeys(k for k in keywords if k.strip()))
     if len(wanted) > CONSTANT_KEYWORDS:
         names = elements.sparkSession.createDataFrame([(k,) for k in wanted], "keyword string")
-        return keyword_table_matches(elements, names, elements.columns, text, parts)
+        return keyword_table_matches(elements, names, text=text, parts=parts)
 
     def found(keyword: str) -> Column:
         # The lower-cased text is a column of its own, so it is made once per row.
@@ -60,68 +65,55 @@ def keyword_matches(
 def keyword_table_matches(
     elements: DataFrame,
     keywords: DataFrame,
-    key: Sequence[str],
+    key: Sequence[str] = (),
     text: str = "text",
     parts: bool = True,
 ) -> DataFrame:
-    """The same for a keyword table of any size, as an equi-join.
-
-    A text can contain a form only if it contains the form's first characters.
-    Those short anchors are the join key, the containment is checked afterwards.
-    A table counted as small is broadcast and nothing is shuffled.  Otherwise
-    only ``key``, which identifies a row of ``elements``, meets the anchors, and
-    the texts are joined to the candidates found.
+    """The same for a keyword table of any size, in one pass over the texts.
+
+    All forms are one automaton, which reads a text once whatever their number,
+    so rows of ``elements`` never move: rows with null cells and rows that repeat
+    each have their own matches, and ``key`` is not needed.  The table's bytes
+    are counted first.  What one automaton may hold is broadcast, never more at a
+    time than ``AUTOMATON_BYTES``; a larger table is dealt to several by the hash
+    of the keyword, and each of them is a pass.  Null and blank keywords find
+    nothing.
     """
+    spark = elements.sparkSession
     forms = _form_table(keywords, parts)
-    head = forms.select("anchor").distinct().limit(CONSTANT_ANCHORS + 1).collect()
-    lengths = sorted({len(r.anchor) for r in head})
-    if len(head) > CONSTANT_ANCHORS:
-        lengths = list(range(1, ANCHOR_LENGTH + 1))
-    if not lengths:
-        nothing = F.lit(None).cast("string")
-        empty = elements.filter(F.lit(False))
-        return empty.select("*", nothing.alias("keyword"), nothing.alias("matched_keyword"))
-
-    lowered = F.lower(F.col(text))
-    grams = F.flatten(F.array(*[_grams(F.col("_low"), n) for n in lengths]))
-    if len(head) <= CONSTANT_ANCHORS:
-        known = [r.anchor for r in head]
-        grams = F.filter(grams, lambda g: g.isin(*known))
-    anchor = F.explode(F.array_distinct(grams)).alias("anchor")
-    # The first form of a keyword counts, so one with an earlier form is left out.
-    first = F.col("_low").contains(F.col("form")) & ~F.exists(
-        "earlier", lambda f: F.col("_low").contains(f)
-    )
-    out = [*elements.columns, "keyword", F.col("form").alias("matched_keyword")]
-    source = elements.withColumn("_low", lowered)
+    size = F.aggregate(F.transform("forms", F.octet_length), F.lit(0), lambda a, b: a + b)
+    total = forms.agg(F.sum(size.cast("long"))).first()[0] or 0
+    deals = 1 + total // AUTOMATON_BYTES
+    found = None
+    for deal in range(deals):
+        part = forms.filter(F.pmod(F.xxhash64("keyword"), F.lit(deals)) == deal)
+        held = [(r.keyword, r.forms) for r in part.orderBy("keyword").collect()]
+        matches = _automaton(spark, held)
+        rows = elements.withColumn("_hits", matches(F.lower(F.col(text))))
+        rows = rows.select(*elements.columns, F.inline("_hits"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
 
-    if keywords.limit(BROADCAST_KEYWORDS + 1).count() <= BROADCAST_KEYWORDS:
-        return source.select("*", anchor).join(F.broadcast(forms), "anchor").filter(first).select(*out)
-    candidates = source.select(*key, anchor).join(forms, "anchor").drop("anchor")
-    return source.join(candidates, list(key)).filter(first).select(*out)
 
+def _automaton(spark: SparkSession, held: list[tuple[str, list[str]]]):
+    """A column function: lower-cased text to array<struct<keyword, matched_keyword>>."""
+    given = spark.sparkContext.broadcast(held)
+    number = next(_numbers)
 
-def _grams(value: Column, length: int) -> Column:
-    """All substrings of a length; a lookahead at every place reads the text once."""
-    return F.regexp_extract_all(value, F.lit(rf"(?s)(?=(.{{{length}}}))"), F.lit(1))
+    @F.arrow_udf("array<struct<keyword:string,matched_keyword:string>>")
+    def hits(texts: pa.Array) -> pa.Array:
+        return automaton.matcher(number, given).find_all(texts)
+
+    return hits
 
 
 def _form_table(keywords: DataFrame, parts: bool) -> DataFrame:
+    """(keyword, forms) of every distinct keyword that has any form."""
     whole = strip(F.lower(F.col("keyword")))
     words = F.filter(F.split(whole, SPACE_RUN), lambda w: F.length(w) >= SHORTEST_PART)
     forms = F.array_distinct(F.concat(F.array(whole), words)) if parts else F.array(whole)
-    return (
-        keywords.select("keyword")
-        .distinct()
-        .withColumn("forms", F.filter(forms, lambda f: f != ""))
-        .select("keyword", "forms", F.posexplode("forms").alias("rank", "form"))
-        .select(
-            "keyword",
-            "form",
-            F.slice("forms", F.lit(1), F.col("rank")).alias("earlier"),
-            F.substring("form", 1, ANCHOR_LENGTH).alias("anchor"),
-        )
-    )
+    table = keywords.select("keyword").distinct().withColumn("forms", F.filter(forms, lambda f: f != ""))
+    return table.filter(F.size("forms") > 0)
 
 
 def exact_case_matches(elements: DataFrame, keywords: Sequence[str], text: str = "text") -> DataFrame:

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from texloam.config import UrlSpec
-from texloam.functions import dom
+from texloam.functions import automaton, dom
 from texloam.functions import html as rules
 from texloam.functions.core import SPACE
 from texloam.functions.urls import drop_fragment, resolve_url, url_host
 
 # The page tree travels with the task, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(dom)
+cloudpickle.register_pickle_by_value(automaton)
 
 # Fixed values.
 SELECTORS = (
@@ -136,10 +137,7 @@ def page_elements(
     for selector in selectors:
         if selector != dom.TEXT_NODES:
             dom.parse_selector(selector)
-    test = None
-    if containing is not None:
-        forms = list(containing)
-        test = lambda text: any(f in text.lower() for f in forms)
+    forms = None if containing is None else list(containing)
     fields = [pages.schema[k] for k in key]
     schema = StructType(
         [
@@ -156,6 +154,7 @@ def page_elements(
     names, wanted = [f.name for f in schema.fields], list(selectors)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        test = None if forms is None else automaton.contains_any(forms)
         for batch in batches:
             rows: list[tuple] = []
             chars = 0

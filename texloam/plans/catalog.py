@@ -593,26 +593,22 @@ def keyword_report(spark: SparkSession, sf: str) -> DataFrame:
     return report.withColumn("samples", F.array_join("sample_matches", " | ")).drop("sample_matches")
 
 
-_PHRASE_SQL = "array_to_string(string_split_regex(text, '\\s+')[2:3], ' ')"
-
-
 @query(
-    f"""
-    WITH k AS (SELECT DISTINCT {_PHRASE_SQL} AS keyword FROM benchmark),
+    """
+    WITH k AS (SELECT DISTINCT text AS keyword FROM benchmark),
     f AS (
       SELECT keyword, 0 AS rank, lower(trim(keyword)) AS form FROM k
       UNION ALL
       SELECT keyword, i, p FROM (
         SELECT keyword, unnest(w) AS p, generate_subscripts(w, 1) AS i
-        FROM (SELECT keyword, string_split(lower(trim(keyword)), ' ') AS w FROM k)) WHERE length(p) > 3)
+        FROM (SELECT keyword, string_split_regex(lower(trim(keyword)), '\\s+') AS w FROM k)) WHERE length(p) > 3)
     SELECT doc_id, keyword, arg_min(form, rank) AS matched_keyword
     FROM documents JOIN f ON form <> '' AND contains(lower(text), form) GROUP BY doc_id, keyword"""
 )
 def keyword_table_matches(spark: SparkSession, sf: str) -> DataFrame:
     docs = texts(spark, sf, "documents").select("doc_id", "text")
-    phrase = F.array_join(F.slice(F.split("text", r"\s+"), 2, 2), " ")
-    names = table(spark, sf, "benchmark").select(phrase.alias("keyword"))
-    return keywords.keyword_table_matches(docs, names, ["doc_id"]).drop("text")
+    names = table(spark, sf, "benchmark").select(F.col("text").alias("keyword"))
+    return keywords.keyword_table_matches(docs, names).drop("text")
 
 
 @query(
@@ -1085,6 +1081,16 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_csv(spark, path, docs.schema)
 
 
+@query("SELECT doc_id, text || chr(10) || '\"' || source || '\", end' AS text, lang, n_chars FROM documents")
+def csv_in_byte_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields with newlines, quotes and commas, read back in byte ranges of the files."""
+    path = scratch_path(spark, "ranges")
+    text = F.concat("text", F.lit('\n"'), "source", F.lit('", end'))
+    docs = table(spark, sf, "documents").select("doc_id", text.alias("text"), "lang", "n_chars")
+    writers.write_csv(docs, path)
+    return readers.read_csv(spark, path, "doc_id long, text string, lang string, n_chars long", split=True)
+
+
 @query(
     "SELECT o_orderkey, 'placed <' || strftime(o_orderdate, '%Y/%m/%d') || '> or [soon]' AS t FROM orders"
 )

@@ -5,10 +5,16 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from texloam.sources import split_csv
+
+# Its second pass travels with the task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(split_csv)
+
 REPLACEMENT = "\ufffd"
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
@@ -30,13 +36,20 @@ def read_csv(
     schema: StructType | str | None = None,
     quoted_newlines: bool = True,
     encoding: str = "UTF-8",
+    split: bool = False,
 ) -> DataFrame:
     """CSV with a header row.
 
     Give a schema for large inputs: without one Spark reads the data twice to
     infer the types.  Quoted newlines keep a file in one task; switch them off
-    for files that have none, so that large files are split.
+    for files that have none, so that large files are split, or ask for
+    ``split``: see :func:`texloam.sources.split_csv.read_split_csv`, whose columns
+    are text unless the schema (DDL) says otherwise.
     """
+    if split and quoted_newlines:
+        if encoding.upper().replace("-", "") != "UTF8":
+            raise ValueError("only UTF-8 files with quoted newlines are split")
+        return split_csv.read_split_csv(spark, path, schema, CSV_OPTIONS)
     reader = spark.read.options(**CSV_OPTIONS, multiLine=quoted_newlines, encoding=encoding)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     return reader.csv(path if isinstance(path, str) else list(path))
