@@ -82,7 +82,27 @@ def test_selectors(selector, found):
     assert [e.text for e in dom.page_elements(PAGE, [selector], None)] == found
 
 
-@pytest.mark.parametrize("selector", ("p:first-child", "a, b", "p + p", "", "div >", "[a~=b]", "p::x"))
+SHAPES = (
+    '<div id=r><p a="x y">1</p><b>2</b><p a="x-y">3<i></i></p><p a="XY" data-q>4</p><em></em><p>5</p></div><div><p>6</p></div>'
+)
+
+
+@pytest.mark.parametrize(
+    ("selector", "found"),
+    [
+        ("p:first-child", "16"), ("p:last-child", "56"), ("p:nth-child(2n+1)", "136"), ("p:nth-child(even)", "45"),
+        ("p:nth-child(n+4)", "45"), ("p:nth-child(-n+3)", "136"), ("p:nth-last-child(1)", "56"), ("p:nth-of-type(2)", "3"),
+        ("p:last-of-type", "56"), ("p:only-child", "6"), ("b + p", "3"), ("p + p", "4"), ("b ~ p", "345"), ("div > b, div p[a]", "1234"),
+        ("p[a~=y]", "1"), ("p[a|=x]", "3"), ("p[a^=x]", "13"), ("p[a$=y]", "13"), ("p[a*='Y']", "4"), ("p[a='xy' i]", "4"),
+        ("p[a^='']", ""), ("p:not([a])", "56"), ("p:not(:first-child, [data-q])", "35"), ("div:not(#r) p", "6"), ("#r :is(b, p[data-q])", "24"),
+        ("b + p ~ p:not(:last-child)", "4"), ("p:nth-of-type(3n-1)", "3"), ("div ~ div > p", "6"), ("p[ data-q ]", "4"),
+    ],
+)
+def test_selector_forms(selector, found):
+    assert "".join(e.text for e in dom.page_elements(SHAPES, [selector], None)) == found
+
+
+@pytest.mark.parametrize("selector", ("", "div >", "> p", "p::x", "p:hover", "a,,b", "a,", "p:not(", ":nth-child(x)", "p)", "[a!=b]", "p q:not(a b"))
 def test_unknown_selectors_raise(spark, selector):
     stored = spark.createDataFrame([(1, PAGE)], "page_id int, html string")
     with pytest.raises(ValueError):

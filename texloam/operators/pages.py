@@ -125,9 +125,8 @@ def page_elements(
 ) -> DataFrame:
     """One row per element with text (``with_empty``: any element) and selector it matches.
 
-    A selector is made of tags, ``.class``, ``#id``, ``[attribute]`` and
-    ``[attribute=value]``, with blanks for descendants and ``>`` for children, or
-    is ``#text`` for the bare text nodes; other syntax raises ``ValueError``.
+    A selector is CSS as :func:`texloam.functions.dom.parse_selector` has it, or
+    ``#text`` for the bare text nodes; other syntax raises ``ValueError``.
     With ``containing``, only elements that have one of these strings in their
     lower-cased text are built.
 

@@ -487,6 +487,43 @@ def page_articles(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("page_id", "text")
 
 
+# Selector forms, and which of the list items put into each page they find.
+_SELECTOR_FORMS = {
+    "ul.menu > li:nth-child(2n+1)": "n % 2 = 1",
+    "ul.menu li:nth-last-child(-n + 2)": "n > items - 2",
+    "ul.menu li:nth-of-type(even)": "n % 2 = 0",
+    "ul.menu li:only-child": "items = 1",
+    "ul.menu li + li": "n > 1",
+    "ul.menu li.odd ~ li:not(.odd)": "n % 2 = 0",
+    "ul.menu li:not(.odd, :last-child)": "n % 2 = 0 AND n <> items",
+    "ul.menu li:first-child, ul.menu li[class~=last]": "n = 1 OR n = items",
+    "ul.menu li[data-k^='k1']": "n = 1",
+    "ul.menu li[data-k$='9Z' i]": "page_id % 10 = 9",
+    'ul.menu li[data-k*="-1"]': "page_id::VARCHAR LIKE '1%'",
+    "ul.menu li[lang|=en]": "n % 3 = 0",
+    "article ~ ul:is(.menu) li:nth-child(3)": "n = 3",
+}
+
+
+@query(
+    lambda: "WITH i AS (SELECT page_id, items, unnest(range(1, items + 1)) AS n FROM (SELECT page_id, page_id % 7 + 1 AS items FROM pages)) "
+    + " UNION ALL ".join(
+        f"SELECT page_id, {q.lit(s)} AS selector, 'item ' || n AS text FROM i WHERE {where}" for s, where in _SELECTOR_FORMS.items()
+    )
+)
+def page_selectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Every form of selector, on a list whose items grow with the page's number."""
+    stored = texts(spark, sf, "pages").withColumn("items", F.col("page_id") % 7 + 1)
+    item = F.expr(
+        """transform(sequence(1, items), n -> concat('<li class="', if(n % 2 = 1, 'odd', 'even'), if(n = items, ' last', ''),
+        '" lang="', if(n % 3 = 0, 'en-US', 'eng'), '" data-k="k', n, '-', page_id, 'z">item ', n, '</li>'))"""
+    )
+    menu = F.concat(F.lit('<ul class="menu">'), F.array_join(item, ""), F.lit("</ul>"))
+    rich = stored.select("page_id", F.replace("html", F.lit("</article>"), F.concat(F.lit("</article>"), menu)).alias("html"))
+    found = pages.page_elements(rich, ["page_id"], selectors=list(_SELECTOR_FORMS))
+    return found.select("page_id", "selector", "text")
+
+
 @query(
     f"""
     SELECT DISTINCT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') || {q.unescape("href")} AS link
