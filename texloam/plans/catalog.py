@@ -711,6 +711,38 @@ def link_reach_bounded(spark: SparkSession, sf: str) -> DataFrame:
 # --- column roles ----------------------------------------------------------
 
 
+_WALK_PAGES = 9
+
+
+def _walk_sql(levels: int = 10) -> str:
+    """The queue level by level; no page lies deeper than so many levels."""
+    parts = [
+        "links AS (SELECT src, dst, max(CASE WHEN length(dst) > 40 THEN 3 ELSE 0 END + CASE WHEN contains(dst, '?') THEN 0 ELSE 2 END) AS priority "
+        "FROM edges GROUP BY src, dst)",
+        "v0 AS (SELECT seed, node, 0 AS depth, 0 AS visit FROM seeds)",
+    ]
+    for i in range(1, levels + 1):
+        seen = " UNION ALL ".join(f"SELECT * FROM v{k}" for k in range(i))
+        parts.append(
+            f"c{i} AS (SELECT seed, dst AS node, min(struct_pack(v := visit, w := -priority)) AS place FROM v{i - 1} JOIN links ON node = src "
+            f"WHERE (seed, dst) NOT IN (SELECT (seed, node) FROM ({seen})) GROUP BY seed, dst)"
+        )
+        parts.append(
+            f"v{i} AS (SELECT seed, node, {i} AS depth, (n + used - 1)::INTEGER AS visit FROM ("
+            f"SELECT *, row_number() OVER (PARTITION BY seed ORDER BY place, node) AS n FROM c{i}) "
+            f"JOIN (SELECT seed, count(*) AS used FROM ({seen}) GROUP BY seed) USING (seed) WHERE n + used <= {_WALK_PAGES})"
+        )
+    return f"WITH RECURSIVE {_GRAPH_SQL}, " + ", ".join(parts) + " " + " UNION ALL ".join(f"SELECT * FROM v{k}" for k in range(levels + 1))
+
+
+@query(lambda: _walk_sql())
+def priority_walk(spark: SparkSession, sf: str) -> DataFrame:
+    """The first pages that a queue ordered by link priority visits from each seed."""
+    edges, seeds = _graph(spark, sf)
+    points = F.when(F.length("dst") > 40, 3).otherwise(0) + F.when(F.col("dst").contains("?"), 0).otherwise(2)
+    return linkgraph.priority_walk(edges.withColumn("priority", points), seeds, _WALK_PAGES)
+
+
 def _profile_sql(name: str, columns: str) -> Callable[[], str]:
     pairs = dict(c.split(":") for c in columns.split())
     return lambda: q.profile(name, pairs)
@@ -923,18 +955,16 @@ def strip_html(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "SELECT p_partkey, p_brand || ' ' || replace(p_name, ' ', ' , ') AS t, p_brand || ' \"' || p_name || ', x\" ' || p_size AS u FROM part"
+    "SELECT p_partkey, p_brand || ' ' || p_name AS t, p_brand || ' \"' || p_name || ', x\" ' || p_size AS u FROM part"
 )
 def list_literals(spark: SparkSession, sf: str) -> DataFrame:
+    """The simple rule cuts at every comma, also inside quotes; the other one only between items."""
     parts = table(spark, sf, "part").select(
         "p_partkey",
-        F.expr("concat('[\\'', p_brand, '\\', \"', replace(p_name, ' ', ' , '), '\"]')").alias("_t"),
+        F.expr("concat('[\\'', p_brand, '\\', \"', replace(p_name, ' ', ' , '), '\"]')").alias("t"),
         F.expr("concat('[', p_brand, ', \"', p_name, ', x\", ', p_size, ']')").alias("u"),
     )
-    # The simple rule cuts at every comma; this one has none inside its quotes.
-    parts = parts.withColumn("t", F.replace("_t", F.lit(" , "), F.lit(" ; "))).drop("_t")
-    joined = cleaning.rewrite(parts, {"t": code.join_list_literal, "u": code.flatten_literals})
-    return joined.withColumn("t", F.replace("t", F.lit(" ; "), F.lit(" , ")))
+    return cleaning.rewrite(parts, {"t": code.join_list_literal, "u": code.flatten_literals})
 
 
 @query("SELECT event_id, regexp_extract(props, '[0-9]+') AS t FROM events")
@@ -1066,9 +1096,9 @@ def configured_run(spark: SparkSession, sf: str) -> DataFrame:
 # --- sources, sinks, streams -----------------------------------------------
 
 
-def _ragged_csv(spark: SparkSession, sf: str) -> str:
+def _ragged_csv(spark: SparkSession, sf: str, extension: str = "") -> str:
     """Customers as CSV text; one segment has a field too many, one too few."""
-    path = scratch_path(spark, "ragged")
+    path = scratch_path(spark, "ragged") + extension
     quoted = F.format_string('%s,"%s, ""Ltd""",%s', "c_custkey", "c_name", "c_mktsegment")
     line = (
         F.when(
@@ -1182,23 +1212,130 @@ def file_in_three_formats(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT 'part' || (c_custkey % 3) AS source_file, count(*) AS n, sum(c_nationkey)::BIGINT AS nations FROM customer GROUP BY 1")
 def folder_of_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Files of one schema in a folder, read as one table with their names."""
+    """Files of one schema in a folder, read as one table with the names that the reader gives."""
     path = scratch_path(spark, "folder")
-    customers = table(spark, sf, "customer").select(
-        "c_custkey", "c_nationkey", (F.col("c_custkey") % 3).alias("own")
-    )
-    customers.write.partitionBy("own").option("header", True).csv(path)
-    folders = [f"{path}/own={i}" for i in range(3)]
-    found = None
-    for i, folder in enumerate(folders):
-        part = readers.read_folder(spark, folder, schema="c_custkey long, c_nationkey long")
-        part = part.withColumn("source_file", F.when(F.col("source_file") != "", F.lit(f"part{i}")))
-        found = part if found is None else found.unionByName(part)
+    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    for i in range(3):
+        writers.write_csv(customers.filter(F.col("c_custkey") % 3 == i), f"{path}/part{i}.csv")
+    found = readers.read_folder(spark, f"{path}/*", schema="c_custkey long, c_nationkey long")
     return found.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("n"), F.sum("c_nationkey").alias("nations")
     )
 
 
+@query(
+    """
+    SELECT 'people' AS source_file, c_custkey::VARCHAR AS "key", c_name || chr(10) || 'x' AS name, NULL AS brand, c_mktsegment AS kind FROM customer
+    UNION ALL SELECT 'parts', p_partkey::VARCHAR, p_name, p_brand, NULL FROM part"""
+)
+def mixed_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Files of two schemas, their columns in different order, as one table from one scan."""
+    path = scratch_path(spark, "mixed")
+    name = F.concat("c_name", F.lit("\nx")).alias("name")
+    people = table(spark, sf, "customer").select("c_mktsegment", name, "c_custkey")
+    parts = table(spark, sf, "part").select("p_partkey", "p_brand", "p_name")
+    writers.write_csv(people.toDF("kind", "name", "key"), f"{path}/people.csv")
+    writers.write_csv(parts.toDF("key", "brand", "name"), f"{path}/parts.csv")
+    return readers.read_mixed_csv(spark, f"{path}/*").select("source_file", "key", "name", "brand", "kind")
+
+
+@query(
+    """
+    SELECT 'cleaned' AS run, source_file, count(*) AS n, sum(length(name))::BIGINT AS chars FROM (
+      SELECT 'people' AS source_file, lower(replace(c_name, '#', ' ')) AS name FROM customer
+      UNION ALL SELECT 'parts', lower(p_name) FROM part) GROUP BY source_file"""
+)
+def folder_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A folder of files of two schemas cleaned in one job, an output for each file."""
+    path, out = scratch_path(spark, "folder_in"), scratch_path(spark, "folder_out")
+    people = table(spark, sf, "customer").select(F.replace("c_name", F.lit("#"), F.lit(" ")).alias("name"), "c_custkey")
+    writers.write_csv(people, f"{path}/people.csv")
+    writers.write_csv(table(spark, sf, "part").select("p_partkey", F.col("p_name").alias("name")), f"{path}/parts.csv")
+    given = {"text_columns": ["name"], "url_columns": (), "datetime_columns": ()}
+    stages.process_folder(spark, f"{path}/*", out, merged=True, sparse_threshold=1.0, **given)
+    again = spark.read.option("header", True).csv(f"{out}/cleaned")
+    return again.groupBy(F.lit("cleaned").alias("run"), "source_file").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("name")).alias("chars")
+    )
+
+
+@query("SELECT c_nationkey AS nation, c_custkey, c_name, c_acctbal FROM customer")
+def json_array_records(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON files that are an array of records each, one for every nation."""
+    path = scratch_path(spark, "arrays")
+    records = F.to_json(F.collect_list(F.struct("c_custkey", "c_name", "c_acctbal")), {"pretty": "true"})
+    arrays = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(records.alias("value"))
+    arrays.write.partitionBy("nation").text(path)
+    return readers.read_json(spark, path, "c_custkey long, c_name string, c_acctbal double, nation int")
+
+
+@query(
+    """
+    SELECT c_custkey::VARCHAR AS "key", c_name || ', "Ltd"' AS name, c_mktsegment AS segment
+    FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')"""
+)
+def unknown_extension(spark: SparkSession, sf: str) -> DataFrame:
+    """A file of unknown kind: an error for the strict loader, CSV without its bad rows for the tolerant one."""
+    path = _ragged_csv(spark, sf, ".data")
+    try:
+        readers.read_table(spark, path)
+    except ValueError:
+        return readers.read_table(spark, path, tolerant=True, names=["key", "name", "segment"])
+    raise AssertionError("an unknown extension was read")
+
+
+@query(
+    "SELECT policy, c_custkey::VARCHAR AS \"key\", 'caf' || sign || ' ' || c_name AS name FROM customer, "
+    "(VALUES ('ignore', ''), ('replace', chr(65533))) p(policy, sign)"
+)
+def bad_characters(spark: SparkSession, sf: str) -> DataFrame:
+    """A Latin-1 file read as UTF-8: what cannot be read is dropped or replaced."""
+    path = scratch_path(spark, "latin")
+    name = F.concat(F.lit("caf\u00e9 "), "c_name").alias("name")
+    rows = table(spark, sf, "customer").select(F.col("c_custkey").alias("key"), name)
+    rows.write.option("encoding", "ISO-8859-1").csv(path)
+    found = None
+    for policy in ("ignore", "replace"):
+        part = readers.read_csv_tolerant(spark, path, bad_characters=policy, names=["key", "name"])
+        part = part.select(F.lit(policy).alias("policy"), "key", "name")
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+@query(
+    """
+    SELECT "column", count(v) AS non_null, count(*) - count(v) AS nulls FROM (
+      SELECT unnest(['page_url', 'HTML_LINK', 'webpage']) AS "column", unnest([url, nullif(html, html), html]) AS v FROM pages)
+    GROUP BY "column" ORDER BY 1"""
+)
+def url_columns_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns whose names suggest addresses, with what they hold."""
+    named = texts(spark, sf, "pages").select(
+        "page_id", F.col("url").alias("page_url"), F.lit(None).cast("string").alias("HTML_LINK"),
+        F.col("html").alias("webpage"), F.col("html").alias("markup"),
+    )
+    wanted = [c for c in named.columns if quality.has_url_name(c)]
+    profile = quality.profile_columns(named.select(wanted), measures=())
+    return profile.select("column", "non_null", "nulls")
+
+
+def _sample_place(key: str) -> str:
+    return f"md5('42|' || coalesce({key}::VARCHAR, ''))"
+
+
+@query(
+    lambda: f"SELECT 'all' AS sample, event_id, event_type FROM (SELECT * FROM events ORDER BY {_sample_place('event_id')} LIMIT 100) "
+    f"UNION ALL SELECT 'type', event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY {_sample_place('event_id')}) AS n "
+    "FROM events) WHERE n <= 100"
+)
+def sample_exactly(spark: SparkSession, sf: str) -> DataFrame:
+    """A hundred events, and a hundred of each type."""
+    events = table(spark, sf, "events").select("event_id", "event_type")
+    parts = {"all": quality.sample_exactly(events, 100, ["event_id"]), "type": quality.sample_exactly(events, 100, ["event_id"], ["event_type"])}
+    found = [df.select(F.lit(k).alias("sample"), "event_id", "event_type") for k, df in parts.items()]
+    return found[0].unionByName(found[1])
+
+
 @query("SELECT event_id, user_id, event_type, value, props FROM events")
 def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "json")

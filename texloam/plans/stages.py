@@ -117,16 +117,18 @@ def process_folder(
     sparse_threshold: float = 0.5,
     kind: str | None = None,
     same_schema: bool = False,
+    merged: bool = False,
     **options: Any,
 ) -> None:
     """Clean every file of a folder.
 
     Files of one schema are one table and one job, with an output folder per
-    file; otherwise each file is planned on its own.  Of files that differ in
+    file; so are CSV files of any schemas with ``merged``, whose common table has
+    the columns of all.  Otherwise each file is planned on its own.  Of files that differ in
     their extension alone, the output keeps the extension as ``_<extension>``.
     """
-    if same_schema:
-        loaded = readers.read_folder(spark, folder, kind or "csv")
+    if same_schema or merged:
+        loaded = readers.read_mixed_csv(spark, folder) if merged else readers.read_folder(spark, folder, kind or "csv")
         data = [c for c in loaded.columns if c != "source_file"]
         loaded = quality.drop_sparse(loaded, sparse_threshold, data)
         options["exclude"] = [*options.get("exclude", ()), "source_file"]

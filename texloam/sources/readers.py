@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import os
 from collections.abc import Sequence
 
@@ -187,11 +188,47 @@ def read_folder(
 ) -> DataFrame:
     """All files of one schema in a folder as one table, with their ``source_file``.
 
-    Sub-folders are not entered.
+    Sub-folders are not entered, unless the path asks for them by a pattern.
     """
     df = read_table(spark, folder, kind, tolerant, **options)
-    name = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "")
-    return df.withColumn("source_file", name)
+    return df.withColumn("source_file", source_name(F.col("_metadata.file_path")))
+
+
+def source_name(path: Column) -> Column:
+    """A file's name without its extension; of a folder's part files, the name of the folder."""
+    name = F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), r"/part-\d+-[^/]*$", "")
+    return F.regexp_replace(F.substring_index(name, "/", -1), r"\.[^.]*$", "")
+
+
+def read_mixed_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """CSV files of differing columns as one table of text columns, with their ``source_file``.
+
+    One scan for all files: the driver sees each distinct header once, the
+    table's columns are all names of the headers in the order of the headers, and
+    a record is parsed by the header of its file.  Columns that a file lacks are
+    null.  Quoted newlines and UTF-8 as in :func:`split_csv.split_records`.
+    """
+    records = split_csv.split_records(spark, path)
+    headers = records.filter("first").select("file", F.col("record").alias("header"))
+    distinct = sorted(r.header for r in headers.select("header").distinct().collect())
+    names = {h: [n.strip() or f"_c{i}" for i, n in enumerate(next(csv.reader([h], strict=True), []))] for h in distinct}
+    columns = list(dict.fromkeys(n for h in distinct for n in names[h]))
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
+
+    def row(header: str) -> Column:
+        own = names[header]
+        kind = ", ".join(f"_{i} string" for i in range(len(own)))
+        parsed = F.from_csv("record", kind, options)
+        cells = [parsed[f"_{own.index(c)}"] if c in own else F.lit(None).cast("string") for c in columns]
+        return F.struct(*(cell.alias(c) for cell, c in zip(cells, columns)))
+
+    if not distinct:
+        return spark.createDataFrame([], "source_file string")
+    found = F
+    for header in distinct:
+        found = found.when(F.col("header") == header, row(header))
+    rows = records.filter(~F.col("first") & (F.trim("record") != "")).join(headers, "file")
+    return rows.select(found.alias("row"), source_name(F.col("file")).alias("source_file")).select("row.*", "source_file")
 
 
 def list_files(spark: SparkSession, folder: str) -> list[str]:
