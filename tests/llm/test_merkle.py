@@ -102,4 +102,4 @@ def test_a_changed_row_changes_its_subroot_only(docs):
 def test_no_window_over_a_whole_group(spark, sf):
     plan = merkle.query(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     windows = re.findall(r"windowspecdefinition\(key#\d+, (\w+)", plan)
-    assert windows and set(windows) == {"block"}
+    assert windows and set(windows) == {"up"}

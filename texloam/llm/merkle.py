@@ -5,13 +5,14 @@ offsets over the nodes in order give a node its neighbours; the node's slot in i
 run and the run's length mask those that belong to other runs.  What is left are
 the siblings, and the rows of first children hash their parents, the next level.
 
-A window never holds a whole tree: runs lie within blocks of consecutive nodes, and
-a block is the window's partition.  Places come from a range partitioning of the
-leaves, whose counts are summed up first, so a group with a third of all rows is
-ranked by as many tasks as its rows need.
+A window never holds a whole tree: its partition is the run, the nodes below one
+parent.  Places come from a range partitioning of the leaves, whose counts are
+summed up first, so a group with a third of all rows is ranked by as many tasks as
+its rows need.
 
 Proofs are put together from the top down: a node's path is its own siblings and
-its parent's path, so each level is joined once with the next smaller one.
+its parent's path, so each level is joined once with the next smaller one.  The
+join's key is the window's, so only the smaller side moves again.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from pyspark.sql.window import Window
 
 from texloam.llm.common import ascii_lower, durable, table
 
-#: Children of a node, and nodes of a window's partition (whole runs).
-FANOUT, BLOCK = 8, 512
+#: Children of a node.
+FANOUT = 8
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 _PATH = "array<struct<before:string,after:string>>"
 
@@ -68,7 +69,7 @@ def placed(rows: DataFrame, order: list[str]) -> DataFrame:
 
 def _neighbours(of: str, condition: str, steps: range) -> str:
     """The hashes at the given steps that belong to the run, one after the other."""
-    window = "OVER (PARTITION BY key, block ORDER BY place)"
+    window = "OVER (PARTITION BY key, up ORDER BY place)"
     parts = (f"if({condition.format(i)}, {of}(hash, {i}) {window}, '')" for i in steps)
     return f"concat({', '.join(parts)})"
 
@@ -78,10 +79,10 @@ _AFTER = _neighbours("lead", "slot + {} < length", range(1, FANOUT))
 
 
 def with_siblings(nodes: DataFrame) -> DataFrame:
-    """Nodes (key, place, n, hash) with ``before`` and ``after``: the siblings of their run, joined, left and right."""
-    runs = nodes.selectExpr("*", f"place % {FANOUT} AS slot", f"place div {BLOCK} AS block")
+    """Nodes (key, place, n, hash) with ``up``, the parent's place, and the run's hashes on both sides, joined."""
+    runs = nodes.selectExpr("*", f"place % {FANOUT} AS slot", f"place div {FANOUT} AS up")
     runs = runs.selectExpr("*", f"least({FANOUT}, n - place + slot) AS length")
-    return runs.selectExpr(*nodes.columns, f"{_BEFORE} AS before", f"{_AFTER} AS after")
+    return runs.selectExpr(*nodes.columns, "up", f"{_BEFORE} AS before", f"{_AFTER} AS after")
 
 
 def parents(nodes: DataFrame) -> DataFrame:
@@ -89,7 +90,7 @@ def parents(nodes: DataFrame) -> DataFrame:
     first = with_siblings(nodes).filter(F.pmod("place", F.lit(FANOUT)) == 0)
     return first.select(
         "key",
-        F.floor(F.col("place") / FANOUT).alias("place"),
+        F.col("up").alias("place"),
         F.ceil(F.col("n") / FANOUT).alias("n"),
         digest(F.col("hash"), F.col("after")).alias("hash"),
     )
@@ -104,7 +105,7 @@ class Tree:
 
 
 def tree(leaves: DataFrame) -> Tree:
-    """Trees over leaves (key, place, n, hash), one for each key.
+    """Trees over leaves (key, place, n, hash and others), one for each key.
 
     A key leaves the levels once one node remains.  The driver reads one number,
     the largest count, and knows from it how many levels there are.
@@ -113,36 +114,29 @@ def tree(leaves: DataFrame) -> Tree:
     levels, tops = [leaves], None
     while most > 1:
         most = -(-most // FANOUT)
-        levels.append(durable(parents(levels[-1].filter("n > 1"))))
+        nodes = levels[-1].select("key", "place", "n", "hash")
+        levels.append(durable(parents(nodes.filter("n > 1"))))
     for level in levels:
         alone = level.filter("n = 1").select("key", "hash")
         tops = alone if tops is None else tops.unionByName(alone)
     return Tree(levels, tops)
 
 
-def paths(trees: Tree, above: DataFrame | None = None) -> DataFrame:
-    """(key, place, path) of every leaf: its siblings level by level, nearest first.
+def paths(trees: Tree, above: DataFrame) -> DataFrame:
+    """Every leaf with ``path``, its siblings level by level, nearest first, and the columns of ``above``.
 
-    ``above`` (key, path) is what follows a key's top node.
+    ``above`` (key, path and others) is what follows a key's top node.
     """
-
-    def ended(top: DataFrame) -> DataFrame:
-        rest = F.array().cast(_PATH)
-        if above is None:
-            return top.select("key", "place", rest.alias("path"))
-        ends = top.join(above, "key", "left")
-        return ends.select("key", "place", F.coalesce("path", rest).alias("path"))
-
+    handed = [c for c in above.columns if c not in ("key", "path")]
     found = None
-    for level in reversed(trees.levels):
-        nodes = level.select("key", "place", "n", "hash")
-        whole = ended(nodes.filter("n = 1"))
+    for number, level in reversed(list(enumerate(trees.levels))):
+        own = level.columns if number == 0 else ["key", "place"]
+        whole = level.filter("n = 1").join(above, "key").select(*own, "path", *handed)
         if found is not None:
-            own = with_siblings(nodes.filter("n > 1")).withColumn("up", F.floor(F.col("place") / FANOUT))
-            up = found.select("key", F.col("place").alias("up"), F.col("path").alias("rest"))
-            own = own.join(up, ["key", "up"])
-            step = F.array(F.struct("before", "after"))
-            whole = whole.unionByName(own.select("key", "place", F.concat(step, F.col("rest")).alias("path")))
+            below = with_siblings(level.filter("n > 1"))
+            rest = found.select("key", F.col("place").alias("up"), F.col("path").alias("rest"), *handed)
+            path = F.concat(F.array(F.struct("before", "after")), "rest").alias("path")
+            whole = whole.unionByName(below.join(rest, ["key", "up"]).select(*own, path, *handed))
         found = whole
     return found
 
@@ -185,21 +179,14 @@ def manifest(
     )
     rows = durable(rows.withColumn("row", F.monotonically_increasing_id()))
     leaves = durable(placed(rows, ["id", "hash", "row"]))
-    groups = tree(leaves.select("key", "place", "n", "hash"))
-    tops = durable(groups.tops)
+    groups = tree(leaves)
     # The subroots are the leaves of one more tree, whose only key is empty.
-    roots = durable(placed(tops.select(F.lit("").alias("key"), F.col("key").alias("group"), "hash"), ["group"]))
-    upper = tree(roots.select("key", "place", "n", "hash"))
-    upper_paths = paths(upper).join(roots.select("place", "group", F.col("hash").alias("subroot")), "place")
-    root = upper.tops.select("key", F.col("hash").alias("root"))
-    tail = upper_paths.join(root, "key").select(F.col("group").alias("key"), "path", "subroot", "root")
-    tail = durable(tail)
-    found = paths(groups, tail.select("key", "path"))
-    return (
-        leaves.join(found, ["key", "place"])
-        .join(tail.select("key", "subroot", "root"), "key")
-        .select(F.col("id").alias(id_col), F.col("hash").alias("leaf"), "subroot", "root", "path", "altered")
-    )
+    tops = durable(groups.tops.select(F.lit("").alias("key"), F.col("key").alias("group"), "hash"))
+    upper = tree(durable(placed(tops, ["group"])))
+    end = upper.tops.select("key", F.array().cast(_PATH).alias("path"), F.col("hash").alias("root"))
+    above = paths(upper, end).select(F.col("group").alias("key"), "path", F.col("hash").alias("subroot"), "root")
+    found = paths(groups, durable(above))
+    return found.select(F.col("id").alias(id_col), F.col("hash").alias("leaf"), "subroot", "root", "path", "altered")
 
 
 def query(spark, sf):
