@@ -126,7 +126,8 @@ def fit(
         F.pmod(F.xxhash64(id_col), F.lit(_SCALE)).alias("place"),
     )
     limit = F.least(F.lit(_SCALE), F.floor(F.lit(per_language) / F.col("n") * _SCALE))
-    sample = rows.join(counts, "lang").filter(F.col("place") < limit)
+    # One row per language, a small part of the model that every task holds.
+    sample = rows.join(F.broadcast(counts), "lang").filter(F.col("place") < limit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
