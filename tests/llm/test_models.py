@@ -1,6 +1,7 @@
 """Language ID and quality: held-out accuracy, plain versions of the sums, odd rows."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -68,6 +69,65 @@ def test_language_of_odd_rows(spark, odd, odd_rows, docs, none):
     assert lang.keep_known(odd, untaught).count() == sum(any(c.isalpha() for c in r[1] or "") for r in odd_rows)
 
 
+def plain_fit(rows, dimensions):
+    """Prototypes and letter counts of (id, text, lang) rows, all of them learned from."""
+    sums, letters = {}, {}
+    for i, text, name in rows:
+        if i is None or name is None or zlib.crc32(str(i).encode()) % 5 == 0:
+            continue
+        vector = plain_bundle(text or "", dimensions)
+        sums[name] = sums.get(name, 0) + vector / (np.linalg.norm(vector) or 1)
+        letters.setdefault(name, Counter()).update(c.lower() for c in text or "" if c.isalpha())
+    return {n: v / (np.linalg.norm(v) or 1) for n, v in sums.items()}, letters
+
+
+def plain_known(text, profiles):
+    letters = [c.lower() for c in text or "" if c.isalpha()]
+    if not letters:
+        return False
+    vector = lang.bundles([text], profiles.vectors.shape[1])[0]
+    cosine = max(float(p @ vector) for p in profiles.vectors) / np.linalg.norm(vector)
+    taught = sum(ord(c) in set(profiles.letters.tolist()) for c in letters)
+    return cosine >= lang.LEAST_SCORE or (len(letters) < lang.SHORT_LETTERS and 2 * taught >= len(letters))
+
+
+def test_fit_and_predict_equal_the_plain_model(spark, docs):
+    rows = [(r.doc_id, r.text[:400], r.lang) for r in docs.limit(60).collect()]
+    rows += [(900, None, "en"), (901, "", "fr"), (902, "tie tie", "aa"), (903, "tie tie", "ab"), (None, "no id", "en"), (904, "no lang", None)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = lang.fit(frame, dimensions=256)
+    prototypes, letters = plain_fit(rows, 256)
+    assert found.languages == tuple(sorted(prototypes))
+    assert np.allclose(found.vectors, [prototypes[n] for n in found.languages], atol=1e-5)
+    assert found.letters.tolist() == sorted({ord(c) for count in letters.values() for c in count})
+    for row, (_, text, _) in zip(lang.predict(frame, found).collect(), rows):
+        vector = plain_bundle(text or "", 256)
+        cosines = [float(prototypes[n] @ vector) / (np.linalg.norm(vector) or 1) for n in found.languages]
+        if not vector.any():
+            assert (row.lang_pred, row.score) == ("und", 0)
+        else:
+            assert row.score == pytest.approx(max(0, max(cosines)), abs=1e-4)
+            assert cosines[found.languages.index(row.lang_pred)] == pytest.approx(max(cosines), abs=1e-5)
+
+
+def test_untaught_scripts_go_and_clean_texts_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    profiles = lang.fit(docs)
+    random = np.random.default_rng(5)
+
+    def script(first, last, words):
+        return " ".join("".join(map(chr, random.integers(first, last, random.integers(3, 9)))) for _ in range(words))
+
+    untaught = [script(*ends, n) for ends in ((0x3B1, 0x3C9), (0x430, 0x44F), (0x4E00, 0x5000), (0x627, 0x64A)) for n in (1, 5, 20, 200) for _ in range(60)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(untaught)], "doc_id long, text string")
+    assert lang.keep_known(frame, profiles).count() < 0.05 * len(untaught)
+    held = [r.text for r in docs.collect() if r.text and zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
+    pieces = held + [" ".join(t.split()[:n]) for t in held for n in (1, 2, 5, 20, 60)]
+    pieces = [t for t in pieces if any(c.isalpha() for c in t)]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(pieces)], "doc_id long, text string")
+    assert lang.keep_known(frame, profiles).count() > 0.999 * len(pieces)
+
+
 def test_every_language_is_learned(spark):
     frame = spark.range(14000).selectExpr("id as doc_id", "concat('word ', id % 700) as text", "concat('l', id % 700) as lang")
     assert len(lang.fit(frame, dimensions=16).languages) == 700

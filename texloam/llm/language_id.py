@@ -24,14 +24,18 @@ from pyspark.sql import functions as F
 from texloam.llm.bpe import LETTER, code_point_classes
 from texloam.llm.common import chunks, fold, runs, table
 
-DIMENSIONS = 1024
+DIMENSIONS = 4096
 SEED = 20
 TEXTS_AT_ONCE = 1024
 #: Bound of the fit: expected texts per language.
 TEXTS_PER_LANGUAGE = 2000
 UNKNOWN = "und"
-#: Texts below this cosine are of no known language; clean ones of a single word are above it.
-LEAST_SCORE = 0.03
+#: Four deviations of a chance cosine in 4096 dimensions; longer texts below it are of no known language.
+LEAST_SCORE = 0.0625
+#: Texts of fewer letters say too little for a cosine: they are known by their letters.
+SHORT_LETTERS = 200
+#: A letter is learned if it makes up this much of some language's letters.
+LEAST_SHARE = 1e-5
 _SCALE = 1 << 30
 
 
@@ -45,10 +49,16 @@ def _lower_letters() -> np.ndarray:
     return table_
 
 
-@functools.cache
+@functools.lru_cache(maxsize=32768)
 def _letter(point: int, dimensions: int) -> np.ndarray:
     """The letter's random vector; 0 stands for the edge of a word."""
-    return np.random.default_rng((SEED, point)).integers(0, 2, dimensions).astype(np.float32) * 2 - 1
+    return np.random.default_rng((SEED, point)).integers(0, 2, dimensions).astype(np.int8) * np.int8(2) - np.int8(1)
+
+
+def _letters(text: str) -> np.ndarray:
+    """The lower-case letters of a text in order."""
+    found = _lower_letters()[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+    return found[found != 0]
 
 
 def bundles(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -79,9 +89,9 @@ def bundles(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
     vectors = np.stack([_letter(int(p), dimensions) for p in alphabet])
     once, twice = np.roll(vectors, 1, axis=1), np.roll(vectors, 2, axis=1)
     grams, column = np.unique(keys, return_inverse=True)
-    for a in range(0, len(grams), 4096):  # trigrams in blocks, so that their vectors stay few
-        g = grams[a : a + 4096]
-        bound = twice[g // size**2] * once[g // size % size] * vectors[g % size]
+    for a in range(0, len(grams), 1024):  # trigrams in blocks, so that their vectors stay few
+        g = grams[a : a + 1024]
+        bound = (twice[g // size**2] * once[g // size % size] * vectors[g % size]).astype(np.float32)
         here = (column >= a) & (column < a + len(g))
         weights = np.zeros((len(texts), len(g)), np.float32)
         weights[rows[here], column[here] - a] = counts[here]
@@ -91,10 +101,11 @@ def bundles(texts: list[str], dimensions: int = DIMENSIONS) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Profiles:
-    """Languages in order and one unit vector for each."""
+    """Languages in order, one unit vector for each, and the lower-case letters they use, ascending."""
 
     languages: tuple[str, ...]
     vectors: np.ndarray
+    letters: np.ndarray
 
 
 def _learned(id_col: str) -> Column:
@@ -112,14 +123,14 @@ def fit(
     """Prototypes of all languages of documents outside the held-out fold.
 
     A language's texts are sampled by a hash of their id, ``per_language`` of
-    them on average.  The driver receives one count per language and one vector
-    per language.
+    them on average.  The driver receives one count, one vector and the counts
+    of its letters per language.
     """
     learned = docs.filter(_learned(id_col) & F.col(lang_col).isNotNull())
     counts = learned.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n"))
     names = tuple(sorted(row["lang"] for row in counts.select("lang").collect()))
     if not names:
-        return Profiles((), np.zeros((0, dimensions), np.float32))
+        return Profiles((), np.zeros((0, dimensions), np.float32), np.zeros(0, np.int64))
     rows = learned.select(
         F.col(lang_col).alias("lang"),
         F.col(text_col).alias("text"),
@@ -139,20 +150,39 @@ def fit(
                 here = names[start:end]
                 for name in sorted(set(here)):
                     total = found[here == name].sum(axis=0).astype(np.float64)
+                    used, times = np.unique(
+                        np.concatenate([_letters(t) for t, n in zip(texts, here, strict=True) if n == name]),
+                        return_counts=True,
+                    )
+                    # Axes from ``dimensions`` on count letters.
+                    axes = np.concatenate([np.arange(dimensions), dimensions + used]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * dimensions), pa.array(range(dimensions), pa.int32()), pa.array(total)],
+                        [pa.array([name] * len(axes)), pa.array(axes), pa.array(np.concatenate([total, times]))],
                         ["lang", "axis", "value"],
                     )
 
     sums = sample.select("lang", "text").mapInArrow(run, "lang string, axis int, value double")
     # Rounded, so that the order of the sums does not matter.
     sums = sums.groupBy("lang", "axis").agg(F.sum(F.round(F.col("value") * 1e6).cast("long")).alias("value"))
-    number = {name: i for i, name in enumerate(names)}
+    sums = sums.toPandas()
+    of, axis = pd.Categorical(sums["lang"], names).codes, sums["axis"].to_numpy()
+    value = sums["value"].to_numpy(np.float64)
+    one = axis < dimensions
     vectors = np.zeros((len(names), dimensions), np.float64)
-    for row in sums.collect():
-        vectors[number[row["lang"]], row["axis"]] = row["value"]
+    vectors[of[one], axis[one]] = value[one]
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return Profiles(names, (vectors / np.where(norms > 0, norms, 1)).astype(np.float32))
+    of, letters, times = of[~one], axis[~one] - dimensions, value[~one]
+    common = times >= LEAST_SHARE * np.bincount(of, times, len(names))[of]
+    learned_letters = np.unique(letters[common]).astype(np.int64)
+    return Profiles(names, (vectors / np.where(norms > 0, norms, 1)).astype(np.float32), learned_letters)
+
+
+def _nearest(texts: list[str], profiles: Profiles) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per text: whether it has letters, the number of its language, the cosine."""
+    found = bundles(texts, profiles.vectors.shape[1])
+    norms = np.linalg.norm(found, axis=1)
+    cosines = (found @ profiles.vectors.T) / np.where(norms > 0, norms, 1)[:, None]
+    return norms > 0, cosines.argmax(axis=1), np.clip(cosines.max(axis=1), 0, 1)
 
 
 def language(text: Column, profiles: Profiles) -> Column:
@@ -163,18 +193,15 @@ def language(text: Column, profiles: Profiles) -> Column:
     learned are ``und`` with score 0.  Of equal cosines the first language by
     name wins.
     """
-    known, vectors = np.array([*profiles.languages, UNKNOWN], object), profiles.vectors
+    known = np.array([*profiles.languages, UNKNOWN], object)
 
     @F.pandas_udf("lang_pred string, score double")
     def compare(column: pd.Series) -> pd.DataFrame:
         best, score = np.full(len(column), len(known) - 1), np.zeros(len(column))
-        for start, end, texts in runs(column.tolist()) if len(vectors) else ():
-            found = bundles(texts, vectors.shape[1])
-            norms = np.linalg.norm(found, axis=1)
-            cosines = (found @ vectors.T) / np.where(norms > 0, norms, 1)[:, None]
-            met = norms > 0
-            best[start:end][met] = cosines.argmax(axis=1)[met]
-            score[start:end][met] = np.clip(cosines.max(axis=1)[met], 0, 1)
+        for start, end, texts in runs(column.tolist()) if profiles.languages else ():
+            met, nearest, cosine = _nearest(texts, profiles)
+            best[start:end][met] = nearest[met]
+            score[start:end][met] = cosine[met]
         return pd.DataFrame({"lang_pred": known[best], "score": score})
 
     return compare(text)
@@ -186,18 +213,40 @@ def predict(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_co
     return found.select(id_col, "found.lang_pred", "found.score")
 
 
+def is_known(text: Column, profiles: Profiles, least_score: float = LEAST_SCORE) -> Column:
+    """Whether a text is in a learned language; never null.
+
+    A text of 200 letters or more is known by a cosine of ``least_score``.  In a
+    shorter one chance outweighs the cosine, so it is also known if at least half
+    of its letters are letters of a learned language.  Null and empty texts and
+    texts without letters are not known.
+    """
+
+    @F.pandas_udf("boolean")
+    def known(column: pd.Series) -> pd.Series:
+        out = np.zeros(len(column), bool)
+        for start, end, texts in runs(column.tolist()):
+            met, _, cosine = _nearest(texts, profiles)
+            fits = met & (cosine >= least_score)
+            for i in np.flatnonzero(met & ~fits):
+                letters = _letters(texts[i])
+                fits[i] = len(letters) < SHORT_LETTERS and 2 * np.isin(letters, profiles.letters).sum() >= len(letters)
+            out[start:end] = fits
+        return pd.Series(out)
+
+    return known(text)
+
+
 def keep_known(
     docs: DataFrame, profiles: Profiles, least_score: float = LEAST_SCORE, text_col: str = "text"
 ) -> DataFrame:
-    """Rows of ``docs`` whose text has a language with at least ``least_score``; no row moves.
+    """Rows of ``docs`` whose text is in a learned language (see ``is_known``); no row moves.
 
     Where nothing was learned, every text with a letter stays.
     """
     if not profiles.languages:
         return docs.filter(F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
-    rows = docs.select(F.struct("*").alias("row"), language(F.col(text_col), profiles).alias("found"))
-    rows = rows.filter((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= least_score))
-    return rows.select("row.*")
+    return docs.filter(is_known(F.col(text_col), profiles, least_score))
 
 
 def query(spark, sf):
