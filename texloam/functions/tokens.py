@@ -24,6 +24,33 @@ PLURAL_ENDINGS = (
     ("ies", "y"),
     ("men", "man"),
 )
+# Noun ending -> base ending, all tried against a vocabulary.
+NOUN_ENDINGS = (
+    ("s", ""),
+    ("ses", "s"),
+    ("ves", "f"),
+    ("ves", "fe"),
+    ("xes", "x"),
+    ("zes", "z"),
+    ("oes", "o"),
+    ("ches", "ch"),
+    ("shes", "sh"),
+    ("men", "man"),
+    ("ies", "y"),
+)
+# Nouns whose plural has no rule.
+IRREGULAR_NOUNS = (
+    ("children", "child"),
+    ("dice", "die"),
+    ("feet", "foot"),
+    ("geese", "goose"),
+    ("lice", "louse"),
+    ("men", "man"),
+    ("mice", "mouse"),
+    ("oxen", "ox"),
+    ("teeth", "tooth"),
+    ("women", "woman"),
+)
 # Endings in s that are no plural.
 KEPT_ENDINGS = ("ss", "us", "is")
 SHORTEST_PLURAL = 4
@@ -82,3 +109,16 @@ def singular(token: Column) -> Column:
         out = out.when(token.endswith(ending), token)
     without_s = F.substring(token, F.lit(1), F.length(token) - 1)
     return out.when(token.endswith("s"), without_s).otherwise(token)
+
+
+def base_forms(token: Column) -> Column:
+    """array<struct<form, place>>: the word itself, then each form with an ending detached."""
+
+    def detached(place: int, ending: str, base: str) -> Column:
+        cut = F.substring(token, F.lit(1), F.length(token) - len(ending))
+        form = F.struct(F.concat(cut, F.lit(base)).alias("form"), F.lit(place).alias("place"))
+        return F.when(token.endswith(ending) & (F.length(token) > len(ending)), form)
+
+    forms = [detached(i, *pair) for i, pair in enumerate(NOUN_ENDINGS, 1)]
+    whole = F.struct(token.alias("form"), F.lit(0).alias("place"))
+    return F.array_compact(F.array(whole, *forms))

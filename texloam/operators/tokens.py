@@ -116,6 +116,52 @@ def _lemmatize_joined(
     return joined.withColumn(tokens, look_up(F.col(tokens), F.col("_lemmas"))).select(*df.columns)
 
 
+def lemma_table(
+    words: DataFrame,
+    vocabulary: DataFrame,
+    exceptions: Sequence[tuple[str, str]] = rules.IRREGULAR_NOUNS,
+) -> DataFrame:
+    """(word, lemma) of the words in column ``word`` that have a lemma other than themselves.
+
+    A word's forms are itself and those with a noun ending detached.  Only forms
+    that column ``word`` of the vocabulary holds count: the shortest is the lemma,
+    of equally long ones the word itself, then the first ending.  An exception
+    comes before all rules if the vocabulary holds its lemma.  Upper and lower case
+    differ.  Null and repeated words say nothing.
+
+    Both sides are reduced to distinct words before they meet, so the join grows
+    with the number of words, not of tokens, and has no hot key.
+    """
+    known = vocabulary.select(F.col("word").cast("string").alias("form")).dropna().distinct()
+    words = words.select(F.col("word").cast("string")).dropna().distinct()
+    forms = rules.base_forms(F.col("word"))
+    if exceptions:
+        of = F.create_map(*(F.lit(cell) for pair in exceptions for cell in pair))
+        special = F.struct(of[F.col("word")].alias("form"), F.lit(-1).alias("place"))
+        forms = F.concat(F.when(special["form"].isNotNull(), F.array(special)).otherwise(F.array()), forms)
+    tried = words.select("word", F.inline(forms))
+    best = F.struct(F.col("place") >= 0, F.length("form"), F.col("place"), F.col("form").alias("form"))
+    found = tried.join(known, "form", "left_semi").groupBy("word").agg(F.min(best)["form"].alias("lemma"))
+    return found.filter(F.col("word") != F.col("lemma"))
+
+
+def lemmatize_by_vocabulary(
+    df: DataFrame,
+    vocabulary: DataFrame,
+    key: Sequence[str],
+    tokens: str = "tokens",
+    exceptions: Sequence[tuple[str, str]] = rules.IRREGULAR_NOUNS,
+    held_rows: int = HELD_LEMMAS,
+) -> DataFrame:
+    """Replace plural nouns by a singular that the vocabulary holds; see ``lemma_table``.
+
+    Words without a known form stay, so "series" and names survive.  The table
+    holds only the words of ``df`` that change; see ``lemmatize`` for its use.
+    """
+    words = df.select(F.explode(F.array_distinct(tokens)).alias("word"))
+    return lemmatize(df, lemma_table(words, vocabulary, exceptions), key, tokens, held_rows)
+
+
 def clean_and_normalize(
     df: DataFrame,
     columns: Sequence[str] | None = None,

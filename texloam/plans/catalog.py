@@ -277,6 +277,46 @@ def lemma_join(spark: SparkSession, sf: str) -> DataFrame:
     return _lemmatized(spark, sf, held_rows=0)
 
 
+#: Ends every text of the query below, so that each ending and the exceptions occur.
+_PLURALS = "mice series omen cars buses wolves knives boxes quizzes heroes churches dishes firemen cities geese men"
+_SINGULARS = "mouse series omen car bus wolf knife box quiz hero church dish fireman city man cit her"
+
+
+def _vocabulary_sql() -> str:
+    endings = " UNION ALL ".join(
+        f"SELECT tok, left(tok, length(tok) - {len(e)}) || '{b}', true, {i} FROM words WHERE ends_with(tok, '{e}') AND length(tok) > {len(e)}"
+        for i, (e, b) in enumerate(tokens.NOUN_ENDINGS, 1)
+    )
+    special = ", ".join(f"('{w}', '{lemma}')" for w, lemma in tokens.IRREGULAR_NOUNS)
+    return f"""
+    WITH toks AS (
+      SELECT doc_id, unnest(t) AS tok, generate_subscripts(t, 1) AS pos
+      FROM (SELECT doc_id, {q.tokens(f"lower(text || ' {_PLURALS}')")} AS t FROM documents)),
+    words AS (SELECT DISTINCT tok FROM toks),
+    vocabulary AS (
+      SELECT unnest({q.tokens("lower(text)")}) AS form FROM benchmark
+      UNION SELECT unnest(string_split('{_SINGULARS}', ' '))),
+    forms(tok, form, ruled, place) AS (
+      SELECT tok, tok, true, 0 FROM words UNION ALL {endings} UNION ALL
+      SELECT w, l, false, -1 FROM (VALUES {special}) AS x(w, l)),
+    ranked AS (
+      SELECT tok AS word, form AS lemma,
+        row_number() OVER (PARTITION BY tok ORDER BY ruled, length(form), place) AS n
+      FROM forms WHERE form IN (SELECT form FROM vocabulary))
+    SELECT doc_id, string_agg(coalesce(lemma, tok), ' ' ORDER BY pos) AS norm_text
+    FROM toks LEFT JOIN (SELECT * FROM ranked WHERE n = 1) ON tok = word GROUP BY doc_id"""
+
+
+@query(_vocabulary_sql)
+def lemma_by_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
+    lower = tokens.tokenize(F.lower(F.concat("text", F.lit(f" {_PLURALS}"))))
+    docs = texts(spark, sf, "documents").select("doc_id", lower.alias("tokens"))
+    known = table(spark, sf, "benchmark").select(F.explode(tokens.tokenize(F.lower("text"))).alias("word"))
+    known = known.unionByName(spark.createDataFrame([(w,) for w in _SINGULARS.split()], "word string"))
+    out = token_jobs.lemmatize_by_vocabulary(docs, known, ["doc_id"])
+    return out.select("doc_id", F.array_join("tokens", " ").alias("norm_text"))
+
+
 # --- URLs ------------------------------------------------------------------
 
 
