@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -35,15 +35,16 @@ def normalize_tokens(
     letters_only: bool = False,
     default_lemmas: bool = False,
     languages: Sequence[str] = LANGUAGES,
+    tokenizer: Callable[[Column], Column] = rules.tokenize,
 ) -> DataFrame:
     """Add ``tokens`` and ``norm_text``: tokenized, stop words out, rejoined.
 
     ``language`` is one language for all rows or a column; ``languages`` are the
     lists a column may choose from, English for all others.  Each stop list is a
     constant hash set of the plan: token order is kept inside the row and no
-    token is ever shuffled.
+    token is ever shuffled.  ``tokenizer`` may be ``treebank.treebank_tokens``.
     """
-    tokens = rules.tokenize(F.col(text))
+    tokens = tokenizer(F.col(text))
     if letters_only:
         tokens = rules.keep_letter_tokens(tokens)
     if isinstance(language, str):

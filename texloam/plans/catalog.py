@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from texloam.config import KNOWN_SPLIT_METHODS, CleanSpec, UrlSpec
-from texloam.functions import code, html, missing, text, tokens, urls, words
+from texloam.functions import code, html, missing, text, tokens, treebank, urls, words
 from texloam.operators import cleaning, keywords, linkgraph, pages, quality, structure
 from texloam.operators import tokens as token_jobs
 from texloam.plans import oracle_parts as q
@@ -317,6 +317,28 @@ def lemma_by_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", F.array_join("tokens", " ").alias("norm_text"))
 
 
+#: Ends every text of the query below, so that each rule has a place to work.
+_CONTRACTED = """ "I can't, (she'll) say 'no'": they cannot... gonna pay $3,000.50 -- at 10:30; 'tis Mr. Smith's [dogs'] d'ye?"""
+
+
+def _treebank_sql() -> str:
+    out = f"translate(text || {q.lit(_CONTRACTED)}, {q.lit(treebank.CUT + treebank.OPENING + treebank.CLOSING)}, '   ')"
+    for pattern, cut in treebank.RULES:
+        out = q.rx(out, pattern, cut.replace("$1", r"\1").replace("$2", r"\2").replace("$3", r"\3"))
+    spelt = f"CASE t WHEN '{treebank.OPENING}' THEN '``' WHEN '{treebank.CLOSING}' THEN {q.lit("''")} ELSE t END"
+    return f"""
+    SELECT doc_id, len(k) AS n_tokens, array_to_string(list_transform(k, lambda t: {spelt}), ' ') AS tokens
+    FROM (SELECT doc_id, list_filter(string_split({out}, '{treebank.CUT}'),
+      lambda t: regexp_matches(t, {q.lit(f"[^{tokens.SPACE}]")})) AS k FROM documents)"""
+
+
+@query(_treebank_sql)
+def treebank_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    docs = texts(spark, sf, "documents").select("doc_id", F.concat("text", F.lit(_CONTRACTED)).alias("text"))
+    found = docs.select("doc_id", treebank.treebank_spans(F.col("text"))["token"].alias("k"))
+    return found.select("doc_id", F.size("k").cast("long").alias("n_tokens"), F.array_join("k", " ").alias("tokens"))
+
+
 # --- URLs ------------------------------------------------------------------
 
 
