@@ -1471,6 +1471,21 @@ def keyword_sink(spark: SparkSession, sf: str) -> DataFrame:
     return writers.keyword_envelopes(rows, site, "").drop("timestamp")
 
 
+@query(_sink_sql)
+def keyword_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Heads of the documents, with the matches counted that stand in them."""
+    path, site = scratch_path(spark, "keywords"), "https://pages.example.org"
+    found = stages.keyword_search(texts(spark, sf, "pages"), _KEYWORDS)
+    writers.write_keyword_documents(found, path, site)
+    lines = spark.read.text(path)
+    head = F.from_json(F.concat("value", F.lit("]}")), "keyword string, website string, items_count long")
+    match = F.from_json(F.ltrim("value", F.lit(",")), "matched_keyword string")["matched_keyword"]
+    is_head = F.col("value").endswith('"data":[')
+    counts = lines.filter(~is_head & (F.col("value") != "]}")).groupBy("keyword_file").agg(F.count(match).alias("items_count"))
+    heads = lines.filter(is_head).select("keyword_file", head.alias("head"))
+    return heads.join(counts, "keyword_file").select("head.keyword", "head.website", counts["items_count"])
+
+
 @query(
     f"""SELECT DISTINCT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') || {q.unescape("href")} AS value
     FROM ({_PAGE_HREFS})"""
@@ -1511,3 +1526,16 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
     streams.run_stream(stream, job, out, scratch_path(spark, "progress")).awaitTermination()
     return spark.read.parquet(out)
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def stream_first_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    schema = table(spark, sf, "events").schema
+    stream = streams.read_stream(spark, f"{sf}/event[s].parquet", schema)
+    out = scratch_path(spark, "stream")
+
+    def job(events: DataFrame) -> DataFrame:
+        return streams.drop_repeated_arrivals(events.select("user_id", "event_type"), ["user_id", "event_type"], "1 day")
+
+    streams.run_stream(stream, job, out, scratch_path(spark, "progress")).awaitTermination()
+    return spark.read.parquet(out)

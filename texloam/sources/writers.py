@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from texloam.functions.urls import second_level_domain
+from texloam.session import scratch_path
 
 # Spark strips blanks around CSV values on writing unless told otherwise.
 CSV_OPTIONS = {
@@ -22,6 +23,8 @@ CSV_OPTIONS = {
 # Leading columns of the keyword files.
 KEYWORD_COLUMNS = ("keyword", "matched_keyword", "url", "title", "selector", "text", "timestamp")
 KEYWORD_EXTRAS = ("context",)
+# Copies of one match that are numbered at a time.
+COPIES_AT_ONCE = 65_536
 
 
 def write_csv(
@@ -147,6 +150,58 @@ def write_keyword_files(
     write_json(keyword_envelopes(matches, site, timestamp), f"{path}/summary")
 
 
+def write_keyword_documents(
+    matches: DataFrame,
+    path: str,
+    site: str,
+    now: datetime.datetime | None = None,
+    keywords: Sequence[str] = (),
+) -> None:
+    """One JSON document per keyword: keyword, website, timestamp, items_count, data.
+
+    A keyword's folder holds the document as parts: put together in the order of
+    their names they are one JSON text, a match a line.  Matches are sorted by
+    their JSON and dealt in ranges, so a keyword with most of the matches is
+    written by many tasks and none holds a keyword.  Repeated matches each stay;
+    ``keywords`` without a match get an empty ``data``.  Keywords that share a file
+    name share the document, under the first of them.
+    """
+    now = now or datetime.datetime.now()
+    timestamp, stamp = now.strftime("%Y-%m-%d %H:%M:%S"), now.strftime("%Y%m%d%H%M")
+    rows = keyword_rows(matches, timestamp)
+    name = keyword_file_name(F.col("keyword"), site, stamp).alias("keyword_file")
+    cells = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("cells")
+    counted = rows.select(name, "keyword", cells).groupBy("keyword_file", "keyword", "cells").agg(F.count("*").alias("n"))
+    # Read several times below, so the matches are written once instead of found anew.
+    kept = scratch_path(matches.sparkSession, "matches")
+    counted.write.parquet(kept)
+    counted = matches.sparkSession.read.parquet(kept)
+    asked = matches.sparkSession.createDataFrame([(k, 0) for k in keywords], "keyword string, n long")
+    totals = (
+        counted.unionByName(asked.select(name, "keyword", F.lit(None).cast("string").alias("cells"), "n"))
+        .groupBy("keyword_file")
+        .agg(F.min("keyword").alias("keyword"), F.sum("n").alias("items_count"), F.min("cells").alias("first"))
+    )
+    head = F.to_json(F.struct("keyword", F.lit(site).alias("website"), F.lit(timestamp).alias("timestamp"), "items_count"))
+    opened = F.concat(F.expr("left(head, length(head) - 1)"), F.lit(',"data":['))
+    heads = totals.select("keyword_file", head.alias("head"))
+    heads = heads.select("keyword_file", F.lit(0).alias("place"), opened.alias("cells"), F.lit(0).cast("long").alias("copy"))
+    ends = heads.select("keyword_file", F.lit(2).alias("place"), F.lit("]}").alias("cells"), "copy")
+    # Copies in blocks, so that a match repeated very often is no long array.
+    blocks = counted.groupBy("keyword_file", "cells").agg(F.sum("n").alias("n"))
+    blocks = blocks.select("*", F.explode(F.expr(f"sequence(0L, (n - 1) div {COPIES_AT_ONCE})")).alias("block"))
+    copies = f"sequence(block * {COPIES_AT_ONCE}, least(n, (block + 1) * {COPIES_AT_ONCE}) - 1)"
+    body = blocks.select("keyword_file", "cells", F.explode(F.expr(copies)).alias("copy"))
+    body = body.join(totals.select("keyword_file", "first"), "keyword_file")
+    start = (F.col("cells") == F.col("first")) & (F.col("copy") == 0)
+    body = body.select("keyword_file", F.lit(1).alias("place"), "cells", "copy", start.alias("start"))
+    lines = body.unionByName(heads.unionByName(ends).withColumn("start", F.lit(True)))
+    order = ("keyword_file", "place", "cells", "copy")
+    lines = lines.repartitionByRange(*order).sortWithinPartitions(*order)
+    value = F.when(F.col("start"), F.col("cells")).otherwise(F.concat(F.lit(","), "cells"))
+    lines.select("keyword_file", value.alias("value")).write.mode("overwrite").partitionBy("keyword_file").text(path)
+
+
 def _write_headers(
     rows: DataFrame, path: str, site: str, now: datetime.datetime, keywords: Sequence[str]
 ) -> None:

@@ -60,3 +60,18 @@ def drop_stream_duplicates(
     """
     stream = stream.withColumn(event_time, F.col(event_time).cast("timestamp"))
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def drop_repeated_arrivals(stream: DataFrame, keys: Sequence[str], time_to_live: str) -> DataFrame:
+    """Rows whose keys arrived before are dropped, for streams without a time of their own.
+
+    A key is remembered for ``time_to_live`` after the micro-batch that first
+    brought it and then forgotten, so the state holds the keys of that span and
+    no more.  Null keys are equal to each other.
+    """
+    arrived = "_arrived"
+    while arrived in stream.columns:
+        arrived += "_"
+    # The time of the micro-batch, which is fixed when a batch is run again.
+    stamped = stream.withColumn(arrived, F.current_timestamp()).withWatermark(arrived, time_to_live)
+    return stamped.dropDuplicatesWithinWatermark(list(keys)).drop(arrived)
