@@ -1,4 +1,5 @@
 import urllib.parse
+from time import perf_counter
 
 from pyspark.sql import functions as F
 
@@ -130,6 +131,19 @@ def test_code_rules(check):
             ("[]", ""),
             ("not [a] list", "not [a] list"),
             (None, None),
+            ('[["a]", 2], "b[", 3]', '"a]" 2 "b[" 3'),
+            ('[{"a": {"b": 1}, "c": [2, [3, "4, 5"]]}, 6]', '1 2 3 "4, 5" 6'),
+            ('{"a": 1, "b": [2, {"c": "x, y"}], \'d\': \'p, q\', "e": {"f": []}, "g": 7}', "1 2 x, y p, q  7"),
+            ('{"a:b": [1, 2], "t": "10:30"}', "1 2 10:30"),
+            ("[f(1, [2, 3]), g{4, 5}]", "f(1 [2, 3]) g{4, 5}"),
+            ("[1, [2, 3]", "1 [2 3"),
+            ("[1], 2]", "1] 2"),
+            ("[1, ], [2, 3]", "1 ] [2 3"),
+            ('["a, 1]', '"a 1'),
+            ("[,, 1,]", "1"),
+            ("[" * 14 + "1, 2" + "]" * 14, "[[[1, 2]]]"),
+            ("{}", ""),
+            ("{[}", ""),
         ],
     )
     check(code.clean_code, [('{"k": 69}', "69"), ("<b>x</b>", " x ")])
@@ -141,6 +155,23 @@ def test_long_literals_do_not_overflow(spark):
     assert row.t == " ".join(["1"] * 200_000)
 
 
+def test_literals_of_100_kb_take_linear_time(spark):
+    def seconds(text):
+        frame = spark.createDataFrame([(text,)] * 4, "t string").select(code.flatten_literals(F.col("t")).alias("t"))
+        frame.collect()
+        begin = perf_counter()
+        got = {r.t for r in frame.collect()}
+        return perf_counter() - begin, got
+
+    unit = '[1, {"a": [2, "x, ]"]}], '
+    for count in (400, 4000):
+        took, got = seconds("[" + unit * count + "9]")
+        assert got == {'1 2 "x, ]" ' * count + "9"}
+        assert took < 10
+    for bad in ("[" * 50_000 + "]" * 50_000, "[" + "[a, " * 25_000 + "]", '[' + '"' * 100_001 + "]", "[" + "{a: [" * 20_000 + "]"):
+        assert seconds(bad)[0] < 10
+
+
 def test_list_and_zero_rules(check):
     check(
         code.join_list_literal,

@@ -91,3 +91,34 @@ def squeeze(column: Column) -> Column:
 def word_count(column: Column) -> Column:
     """Number of white-space separated words."""
     return F.regexp_count(column, F.lit(f"[^{SPACE}]+"))
+
+
+def running_sum(array: Column) -> Column:
+    """The sum of a bigint array up to each element.
+
+    The array is cut into blocks of the square root of its length, so that no
+    step copies more than a block.
+    """
+    zero = F.lit(0).cast("long")
+
+    def sums(values: Column, before: Column) -> Column:
+        start = F.struct(F.array().cast("array<bigint>").alias("out"), before.alias("last"))
+
+        def step(state: Column, value: Column) -> Column:
+            now = state["last"] + value
+            return F.struct(F.concat(state["out"], F.array(now)).alias("out"), now.alias("last"))
+
+        return F.aggregate(values, start, step, lambda state: state["out"])
+
+    def blocks(values: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(values))).cast("int")
+        return F.transform(F.sequence(F.lit(1), F.size(values), width), lambda at: F.slice(values, at, width))
+
+    def join(cut: Column) -> Column:
+        totals = F.transform(cut, lambda block: F.aggregate(block, zero, lambda a, b: a + b))
+        return bind(
+            sums(totals, zero),
+            lambda upto: F.flatten(F.transform(cut, lambda block, i: sums(block, F.coalesce(F.get(upto, i - 1), zero)))),
+        )
+
+    return bind(array, lambda a: F.when(F.size(a) > 0, bind(blocks(a), join)).otherwise(a))
