@@ -1042,6 +1042,15 @@ def nested_literals(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.clean_code(events, ["t"])
 
 
+@query(
+    """SELECT event_id, event_type || ' "a, ]" ' || regexp_extract(props, '[0-9]+') || ' b, c ' || user_id AS t FROM events"""
+)
+def deep_literals(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists and dicts inside a dict inside a list, with commas and brackets in quotes."""
+    deep = F.expr("""concat('[{"x": [', event_type, ', "a, ]"], "y": ', props, ', \\'z\\': \\'b, c\\'}, [', user_id, ']]')""")
+    return cleaning.clean_code(texts(spark, sf, "events").select("event_id", deep.alias("t")), ["t"])
+
+
 @query("SELECT c_custkey, ltrim(c_custkey::VARCHAR, '0') AS code, c_custkey::VARCHAR AS kept FROM customer")
 def leading_zeros(spark: SparkSession, sf: str) -> DataFrame:
     padded = F.lpad(F.col("c_custkey").cast("string"), 12, "0")
