@@ -7,6 +7,7 @@ import psutil
 from pyspark.sql import functions as F
 
 from texloam.functions import treebank
+from texloam.operators import tokens as jobs
 
 MB = 1 << 20
 
@@ -47,3 +48,29 @@ def run(frame) -> None:
 def test_treebank_places(spark):
     texts = spark.range(0, 1000, 1, 1).select(F.repeat(F.lit("a "), 2000).alias("t"))
     assert grown(lambda: run(texts.select(treebank.treebank_spans(F.col("t"))))) < 250
+
+
+def words_of(spark, rows: int, words: int, distinct: int):
+    """One task's rows, each with so many tokens of so many different words."""
+    token = F.transform(F.sequence(F.lit(1), F.lit(words)), lambda i: F.concat(F.lit("w"), i % distinct))
+    return spark.range(0, rows, 1, 1).select(F.col("id").alias("key"), token.alias("tokens"))
+
+
+def lemmas_of(spark, distinct: int):
+    return spark.range(distinct).select(F.concat(F.lit("w"), "id").alias("word"), F.concat(F.lit("x"), "id").alias("lemma"))
+
+
+def test_held_lemmas(spark):
+    frame = words_of(spark, 5000, 2000, 1000)
+    assert grown(lambda: run(jobs.lemmatize(frame, lemmas_of(spark, 1000), ["key"]))) < 430
+
+
+def test_lemmas_of_lists_in_batches(spark):
+    """Null and empty lists, null tokens and lists cut by a batch's end each keep their place."""
+    rows = [(i, [None, [], [None, "w1"], ["w1", "a", "w2"]][i % 4]) for i in range(2500)]
+    frame = spark.createDataFrame(rows, "key int, tokens array<string>").coalesce(1)
+    new = {"w1": "x1", "w2": "x2"}
+    expected = [(k, t if t is None else [new.get(w, w) for w in t]) for k, t in rows]
+    for held in (0, 10):
+        got = jobs.lemmatize(frame, lemmas_of(spark, 5), ["key"], held_rows=held).collect()
+        assert sorted(map(tuple, got)) == expected

@@ -7,15 +7,21 @@ from functools import reduce
 from operator import and_
 
 import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from texloam.config import LANGUAGES, CleanSpec
+from texloam.functions import lists as arrow_lists
 from texloam.functions import text as text_rules
 from texloam.functions import tokens as rules
 from texloam.functions.missing import null_to_blank
 from texloam.operators.cleaning import string_columns
 
+# Travels with the task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(arrow_lists)
+
 # A lemma table up to this many rows is held by every task; see lemmatize.
 HELD_LEMMAS = 200_000
 URL_NAME_PARTS = ("url", "link", "href", "uri", "web", "http")
@@ -82,12 +88,12 @@ def lemmatize(
 
 
 def _lemmatize_held(df: DataFrame, table: dict[str, str], tokens: str) -> DataFrame:
-    held = df.sparkSession.sparkContext.broadcast(table)
+    given = pa.array(table.keys(), pa.string()), pa.array(table.values(), pa.string())
+    held = df.sparkSession.sparkContext.broadcast(given)
 
-    @F.pandas_udf("array<string>")
-    def look_up(column: pd.Series) -> pd.Series:
-        get = held.value.get
-        return column.map(lambda row: None if row is None else [get(t, t) for t in row])
+    @F.arrow_udf("array<string>")
+    def look_up(column: pa.Array) -> pa.Array:
+        return arrow_lists.replace_words(column, *held.value)
 
     return df.withColumn(tokens, look_up(F.col(tokens)))
 
