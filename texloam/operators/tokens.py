@@ -6,7 +6,6 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -107,16 +106,11 @@ def _lemmatize_joined(
     found = pairs.agg(F.collect_set(F.struct("word", "lemma")).alias("_lemmas"))
     found = found.withColumnsRenamed({k: f"_of_{k}" for k in key})
 
-    # A dictionary for each row: Spark's maps are searched from the front for every token.
-    @F.pandas_udf("array<string>")
-    def look_up(column: pd.Series, tables: pd.Series) -> pd.Series:
-        def one(row, table):
-            if row is None or table is None:
-                return row
-            get = {pair["word"]: pair["lemma"] for pair in table}.get
-            return [get(t, t) for t in row]
-
-        return pd.Series([one(r, t) for r, t in zip(column, tables, strict=True)], dtype=object)
+    # Spark's maps are searched from the front for every token.  A word has one lemma
+    # and a row's table has all its words, so the tables of a batch are one.
+    @F.arrow_udf("array<string>")
+    def look_up(column: pa.Array, tables: pa.Array) -> pa.Array:
+        return arrow_lists.replace_words(column, *tables.flatten().flatten())
 
     same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in key))
     joined = df.join(found, same, "left")
