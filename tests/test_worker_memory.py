@@ -7,6 +7,7 @@ import psutil
 from pyspark.sql import functions as F
 
 from texloam.functions import treebank
+from texloam.operators import keywords
 from texloam.operators import tokens as jobs
 
 MB = 1 << 20
@@ -79,3 +80,12 @@ def test_lemmas_of_lists_in_batches(spark):
     for held in (0, 10):
         got = jobs.lemmatize(frame, lemmas_of(spark, 5), ["key"], held_rows=held).collect()
         assert sorted(map(tuple, got)) == expected
+
+
+def test_keyword_names(spark):
+    """A short text that has a word of many long keywords."""
+    names = spark.range(200).select(F.concat("id", F.lit(" common "), F.repeat(F.lit("x"), 300)).alias("keyword"))
+    texts = spark.range(0, 4000, 1, 1).select("id", F.lit("a Common word").alias("text"))
+    found = keywords.keyword_table_matches(texts, names)
+    assert grown(lambda: run(found)) < 200
+    assert found.filter(F.col("matched_keyword") == "common").select("id", "keyword").distinct().count() == 4000 * 200

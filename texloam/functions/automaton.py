@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Sequence
 
 import ahocorasick
@@ -19,34 +20,39 @@ class Matcher:
         for number, (_, forms) in enumerate(keywords):
             for rank, form in enumerate(forms):
                 owners.setdefault(form, []).append((number, rank))
-        self.keywords, self.owners = keywords, list(owners.values())
+        self.owners = list(owners.values())
         self.automaton = ahocorasick.Automaton()
         for place, form in enumerate(owners):
             self.automaton.add_word(form, place)
         self.automaton.make_automaton()
 
-    def find(self, text: str) -> list[tuple[str, str]]:
-        """(keyword, form) of every keyword found, in the order of the keywords."""
+    def find(self, text: str) -> list[tuple[int, int]]:
+        """Of every keyword found, its number and that of its form, in the order of the keywords."""
         best: dict[int, int] = {}
         if self.owners:
             for place in {place for _, place in self.automaton.iter(text)}:
                 for number, rank in self.owners[place]:
                     if rank < best.get(number, rank + 1):
                         best[number] = rank
-        return [(self.keywords[n][0], self.keywords[n][1][best[n]]) for n in sorted(best)]
+        return sorted(best.items())
 
     def find_all(self, texts: pa.Array) -> pa.Array:
-        """The same for a column, as lists of structs; a null text contains nothing."""
-        ends, names, forms = [0], [], []
-        for text in texts.to_pylist():
-            for name, form in self.find(text) if text else ():
-                names.append(name)
-                forms.append(form)
-            ends.append(len(names))
-        pairs = pa.StructArray.from_arrays(
-            [pa.array(names, pa.string()), pa.array(forms, pa.string())], ["keyword", "matched_keyword"]
-        )
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
+        """The same for a column, as lists of structs; a null text contains nothing.
+
+        Matches are numbers in flat buffers and texts are read one by one, so a
+        batch takes little more than its own bytes.
+        """
+        ends, keywords, forms = array("i", [0]), array("i"), array("i")
+        for text in texts:
+            low = text.as_py()
+            for number, rank in self.find(low) if low else ():
+                keywords.append(number)
+                forms.append(rank)
+            ends.append(len(keywords))
+        numbers = (pa.Array.from_buffers(pa.int32(), len(a), [None, pa.py_buffer(a)]) for a in (keywords, forms, ends))
+        keywords, forms, ends = numbers
+        pairs = pa.StructArray.from_arrays([keywords, forms], ["keyword", "form"])
+        return pa.ListArray.from_arrays(ends, pairs)
 
 
 _held: dict[int, Matcher] = {}

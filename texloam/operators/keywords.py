@@ -71,7 +71,8 @@ def keyword_table_matches(
 ) -> DataFrame:
     """The same for a keyword table of any size, in one pass over the texts.
 
-    All forms are one automaton, which reads a text once whatever their number,
+    All forms are one automaton, which reads a text once whatever their number
+    and gives numbers, which a broadcast table of the same part turns into names,
     so rows of ``elements`` never move: rows with null cells and rows that repeat
     each have their own matches, and ``key`` is not needed.  The table's bytes
     are counted first.  What one automaton may hold is broadcast, never more at a
@@ -88,19 +89,28 @@ def keyword_table_matches(
     for deal in range(deals):
         part = forms.filter(F.pmod(F.xxhash64("keyword"), F.lit(deals)) == deal)
         held = [(r.keyword, r.forms) for r in part.orderBy("keyword").collect()]
-        matches = _automaton(spark, held)
-        rows = elements.withColumn("_hits", matches(F.lower(F.col(text))))
-        rows = rows.select(*elements.columns, F.inline("_hits"))
+        hits = F.inline(_automaton(spark, held)(F.lower(F.col(text)))).alias("_keyword", "_form")
+        rows = elements.select(*elements.columns, hits)
+        # A task sends numbers; the names, often as long as the text, are put in beside it.
+        named = {
+            "_keyword": pa.array(range(len(held)), pa.int32()),
+            "_name": pa.array([k for k, _ in held], pa.string()),
+            "_forms": pa.array([f for _, f in held], pa.list_(pa.string())),
+        }
+        names = spark.createDataFrame(pa.table(named))
+        form = F.get("_forms", F.col("_form"))
+        rows = rows.join(F.broadcast(names), "_keyword")
+        rows = rows.select(*elements.columns, F.col("_name").alias("keyword"), form.alias("matched_keyword"))
         found = rows if found is None else found.unionByName(rows)
     return found
 
 
 def _automaton(spark: SparkSession, held: list[tuple[str, list[str]]]):
-    """A column function: lower-cased text to array<struct<keyword, matched_keyword>>."""
+    """A column function: lower-cased text to the numbers of its keywords and of their forms."""
     given = spark.sparkContext.broadcast(held)
     number = next(_numbers)
 
-    @F.arrow_udf("array<struct<keyword:string,matched_keyword:string>>")
+    @F.arrow_udf("array<struct<keyword:int,form:int>>")
     def hits(texts: pa.Array) -> pa.Array:
         return automaton.matcher(number, given).find_all(texts)
 
