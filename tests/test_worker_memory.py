@@ -71,6 +71,12 @@ def test_joined_lemmas(spark):
     assert grown(lambda: run(jobs.lemmatize(frame, lemmas_of(spark, 500), ["key"], held_rows=0))) < 250
 
 
+def test_lemmas_by_vocabulary(spark):
+    frame = words_of(spark, 5000, 2000, 1000).select("key", F.transform("tokens", lambda t: F.concat(t, F.lit("s"))).alias("tokens"))
+    known = lemmas_of(spark, 1000).select("word")
+    assert grown(lambda: run(jobs.lemmatize_by_vocabulary(frame, known, ["key"]))) < 430
+
+
 def test_lemmas_of_lists_in_batches(spark):
     """Null and empty lists, null tokens and lists cut by a batch's end each keep their place."""
     rows = [(i, [None, [], [None, "w1"], ["w1", "a", "w2"]][i % 4]) for i in range(2500)]
