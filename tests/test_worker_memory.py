@@ -7,7 +7,7 @@ import psutil
 from pyspark.sql import functions as F
 
 from texloam.functions import treebank
-from texloam.operators import keywords
+from texloam.operators import keywords, pages
 from texloam.operators import tokens as jobs
 
 MB = 1 << 20
@@ -95,3 +95,20 @@ def test_keyword_names(spark):
     found = keywords.keyword_table_matches(texts, names)
     assert grown(lambda: run(found)) < 200
     assert found.filter(F.col("matched_keyword") == "common").select("id", "keyword").distinct().count() == 4000 * 200
+
+
+def test_pages_of_a_batch(spark):
+    """One wide character makes a page four bytes a character in Python."""
+    html = F.concat(F.lit("<h1>a</h1><p>"), "id", F.repeat(F.lit("ab "), 7000), F.lit("\U0001f44d</p>"))
+    stored = spark.range(0, 2500, 1, 1).select(F.col("id").alias("page_id"), html.alias("html"))
+    found = pages.page_elements(stored, ["page_id"], selectors=["h1"])
+    assert grown(lambda: run(found)) < 320
+    assert found.count() == 2500
+
+
+def test_page_keys_keep_their_kind(spark):
+    rows = [(None, None, "<p>a</p><p>b</p>"), (2**53 + 1, ["x", None], "<h1>c</h1>"), (3, [], " "), (4, ["y"], "<b>d</b>")]
+    stored = spark.createDataFrame(rows, "page_id long, tags array<string>, html string").coalesce(1)
+    found = pages.page_elements(stored, ["page_id", "tags"], selectors=["p", "h1"])
+    got = [(r.page_id, r.tags, r.selector, r.pos, r.text) for r in found.collect()]
+    assert got == [(None, None, "p", 0, "a"), (None, None, "p", 1, "b"), (2**53 + 1, ["x", None], "h1", 0, "c")]

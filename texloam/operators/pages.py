@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -151,22 +151,31 @@ def page_elements(
         ]
     )
     names, wanted = [f.name for f in schema.fields], list(selectors)
+    kinds = [pa.int32() if f.dataType == IntegerType() else pa.string() for f in schema.fields[len(fields) :]]
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(ids: list[pa.Array], places: list[int], found: list[dom.Element]) -> pa.RecordBatch:
+        at = pa.array(places, pa.int32())
+        cells = zip(*found, strict=True) if found else [()] * len(kinds)
+        columns = [pa.array(c, kind) for c, kind in zip(cells, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays([*(c.take(at) for c in ids), *columns], names)
+
+    # Pages become strings one by one, keys stay as they came.
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         test = None if forms is None else automaton.contains_any(forms)
         for batch in batches:
-            rows: list[tuple] = []
-            chars = 0
-            for *ids, page in batch.itertuples(index=False, name=None):
-                found = dom.page_elements(page, wanted, context_below, with_empty, test)
-                rows += [(*ids, *e) for e in found]
+            *ids, cells = batch.columns
+            places, elements, chars = [], [], 0
+            for place, page in enumerate(cells):
+                found = dom.page_elements(page.as_py(), wanted, context_below, with_empty, test)
+                places += [place] * len(found)
+                elements += found
                 chars += sum(len(e.text) + len(e.context or "") for e in found)
-                if len(rows) >= ROWS_PER_BATCH or chars >= CHARS_PER_BATCH:
-                    yield pd.DataFrame(rows, columns=names)
-                    rows, chars = [], 0
-            yield pd.DataFrame(rows, columns=names)
+                if len(elements) >= ROWS_PER_BATCH or chars >= CHARS_PER_BATCH:
+                    yield rows(ids, places, elements)
+                    places, elements, chars = [], [], 0
+            yield rows(ids, places, elements)
 
-    return with_html(pages, html).select(*key, html).mapInPandas(parse, schema)
+    return with_html(pages, html).select(*key, html).mapInArrow(parse, schema)
 
 
 def link_priorities(
