@@ -1,8 +1,11 @@
 """Lemmas by detached endings that a vocabulary confirms."""
 
+import re
+
 import pytest
 
 from texloam.operators import tokens as jobs
+from texloam.plans import catalog
 
 VOCABULARY = (
     "mouse car series omen oman city wolf wolves knife bus box hero church man James lens len goose geese Mary ruby rubies bo",
@@ -53,6 +56,37 @@ def test_both_ways_give_the_same_rows(spark, held):
     assert got == sorted(tuple(map(str, r)) for r in want)
 
 
+@pytest.mark.parametrize("query", ["lemma_by_vocabulary", "lemma_lookup"])
+def test_queries_run_no_python(spark, sf, query):
+    plan = catalog.QUERIES[query](spark, sf)._jdf.queryExecution().toString()
+    assert "Project" in plan and not re.search("Python|Arrow|applySchemaToPythonRDD", plan)
+
+
+#: What a table kept as text could get wrong, and words that only differ in case or by a mark.
+ODD = ["", " ", '"', "\\", "\\n", "\n", "\r\n", "\x00", "\x1f", "\u2028", "'", "{}", "[", "null", "true", "1", "1e5", "a", "A", "é", "e\u0301", "\U0001f44d", "\ufffd"]
+
+
+def test_any_word_may_be_in_the_table(spark):
+    words = [*ODD, *(f"w{i}" for i in range(3000))]
+    lemmas = spark.createDataFrame([(w, f"{w}|{w}") for w in words] + [("a", "zz"), (None, "x"), ("other", None)], "word string, lemma string")
+    frame = spark.createDataFrame([(1, [*words, None, "other", "aa"]), (2, words[::-1]), (3, []), (4, None)], "id long, tokens array<string>")
+    expected = {1: [*(f"{w}|{w}" for w in words), None, "other", "aa"], 2: [f"{w}|{w}" for w in words[::-1]], 3: [], 4: None}
+    for held in (0, 200_000):
+        out = jobs.lemmatize(frame, lemmas, ["id"], held_rows=held)
+        assert {r.id: r.tokens for r in out.collect()} == expected
+        assert out.schema == frame.schema
+
+
+@pytest.mark.parametrize("length", [1000, 1001, 60_000])
+def test_long_words(spark, length):
+    word = "w" * length
+    frame = spark.createDataFrame([(1, [word, "a", word + "w"])], "id long, tokens array<string>")
+    for pairs in ([(word, "x"), ("a", "b")], [("a", word), (word, "a")]):
+        lemmas = spark.createDataFrame(pairs, "word string, lemma string")
+        got = jobs.lemmatize(frame, lemmas, ["id"]).first().tokens
+        assert got == [dict(pairs).get(w, w) for w in (word, "a", word + "w")]
+
+
 def test_empty_tables(spark):
     frame = spark.createDataFrame([], "id long, tokens array<string>")
     known = spark.createDataFrame([], "word string")

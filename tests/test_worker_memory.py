@@ -77,6 +77,18 @@ def test_lemmas_by_vocabulary(spark):
     assert grown(lambda: run(jobs.lemmatize_by_vocabulary(frame, known, ["key"]))) < 430
 
 
+def test_held_lemmas_need_no_worker(spark):
+    """A batch of 64 MB of tokens would grow a worker by as much several times over."""
+    frame = words_of(spark, 5000, 2000, 1000)
+    held = jobs.lemmatize(frame, lemmas_of(spark, 1000), ["key"])
+    plurals = frame.select("key", F.transform("tokens", lambda t: F.concat(t, F.lit("s"))).alias("tokens"))
+    detached = jobs.lemmatize_by_vocabulary(plurals, lemmas_of(spark, 1000).select("word"), ["key"])
+    assert grown(lambda: run(held)) < 50
+    assert grown(lambda: run(detached)) < 50
+    expected = frame.select("key", F.transform("tokens", lambda t: F.replace(t, F.lit("w"), F.lit("x"))))
+    assert held.exceptAll(expected).isEmpty() and detached.exceptAll(frame).isEmpty()
+
+
 def test_lemmas_of_lists_in_batches(spark):
     """Null and empty lists, null tokens and lists cut by a batch's end each keep their place."""
     rows = [(i, [None, [], [None, "w1"], ["w1", "a", "w2"]][i % 4]) for i in range(2500)]

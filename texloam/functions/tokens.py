@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column
@@ -99,6 +100,26 @@ def drop_stop_words_by_language(
     return out
 
 
+def replace_words(tokens: Column, table: Iterable[tuple[str, str, int]]) -> Column:
+    """Replace tokens by a constant table of (word, other, xxhash64 of the word); all words differ.
+
+    Spark's maps are searched from the front, so the table is an array of as many
+    maps as words: a token's hash says which one may hold it.
+    """
+    table = list(table)
+    maps: list[dict[str, str]] = [{} for _ in table] or [{}]
+    for word, other, number in table:
+        maps[number % len(maps)][word] = other
+    # Text, because a literal for every word would take Spark minutes to build.
+    held = F.from_json(F.lit(json.dumps(maps)), "array<map<string,string>>")
+
+    def look_up(token: Column) -> Column:
+        place = F.pmod(F.xxhash64(token), F.lit(len(maps))).cast("int")
+        return F.coalesce(F.get(held, place)[token], token)
+
+    return F.transform(tokens.cast("array<string>"), look_up)
+
+
 def singular(token: Column) -> Column:
     """A noun's singular by its ending; other words unchanged."""
     out = F.when(F.length(token) < SHORTEST_PLURAL, token)

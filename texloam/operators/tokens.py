@@ -21,8 +21,10 @@ from texloam.operators.cleaning import string_columns
 # Travels with the task, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(arrow_lists)
 
-# A lemma table up to this many rows is held by every task; see lemmatize.
+# A lemma table up to this many rows, of words up to this many characters, is held by
+# every task; see lemmatize.
 HELD_LEMMAS = 200_000
+HELD_CHARS = 1000
 URL_NAME_PARTS = ("url", "link", "href", "uri", "web", "http")
 
 
@@ -73,30 +75,20 @@ def lemmatize(
     """Replace tokens by their lemma from a (word, lemma) table.
 
     Of a word that is repeated the first lemma by name counts; rows without word
-    or lemma say nothing.  A small table, counted first, is held by the tasks and
-    looked up batch by batch without a shuffle.  A larger one is joined: the
-    tokens that have a lemma are found by an equi-join, gathered per ``key`` and
-    joined back, null keys included.  Both ways give the same rows.
+    or lemma say nothing.  A small table, counted first, is a constant of the
+    plan: no shuffle and no Python.  A larger one, or one with a word or lemma of
+    over ``HELD_CHARS`` characters, is joined: the tokens that have a lemma are
+    found by an equi-join, gathered per ``key`` and joined back, null keys
+    included.  Both ways give the same rows.
     """
     lemmas = lemmas.select(F.col("word").cast("string"), F.col("lemma").cast("string"))
     lemmas = lemmas.dropna().groupBy("word").agg(F.min("lemma").alias("lemma"))
-    head = lemmas.limit(held_rows + 1).collect()
-    if len(head) <= held_rows:
-        return _lemmatize_held(df, {r.word: r.lemma for r in head}, tokens)
+    head = lemmas.limit(held_rows + 1).select("word", "lemma", F.xxhash64("word")).collect()
+    if len(head) <= held_rows and all(max(len(word), len(lemma)) <= HELD_CHARS for word, lemma, _ in head):
+        return df.withColumn(tokens, rules.replace_words(F.col(tokens), head))
     return _lemmatize_joined(df, lemmas, key, tokens)
 
 
-def _lemmatize_held(df: DataFrame, table: dict[str, str], tokens: str) -> DataFrame:
-    given = pa.array(table.keys(), pa.string()), pa.array(table.values(), pa.string())
-    held = df.sparkSession.sparkContext.broadcast(given)
-
-    @F.arrow_udf("array<string>")
-    def look_up(column: pa.Array) -> pa.Array:
-        return arrow_lists.replace_words(column, *held.value)
-
-    return df.withColumn(tokens, look_up(F.col(tokens)))
-
-
 def _lemmatize_joined(
     df: DataFrame, lemmas: DataFrame, key: Sequence[str], tokens: str
 ) -> DataFrame:

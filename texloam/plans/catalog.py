@@ -312,7 +312,7 @@ def lemma_by_vocabulary(spark: SparkSession, sf: str) -> DataFrame:
     lower = tokens.tokenize(F.lower(F.concat("text", F.lit(f" {_PLURALS}"))))
     docs = texts(spark, sf, "documents").select("doc_id", lower.alias("tokens"))
     known = table(spark, sf, "benchmark").select(F.explode(tokens.tokenize(F.lower("text"))).alias("word"))
-    known = known.unionByName(spark.createDataFrame([(w,) for w in _SINGULARS.split()], "word string"))
+    known = known.unionByName(spark.range(1).select(F.explode(F.split(F.lit(_SINGULARS), " ")).alias("word")))
     out = token_jobs.lemmatize_by_vocabulary(docs, known, ["doc_id"])
     return out.select("doc_id", F.array_join("tokens", " ").alias("norm_text"))
 
